@@ -42,24 +42,19 @@ class HotKey:
         return ceil(self.rows / rows_per_task)
 
 
-def find_hot_keys(
-    df: DataFrame,
-    keys: Sequence[str] = INVOICE_KEYS,
-    order: Sequence[str] = VERSION_ORDER,
-    rows_per_task: int = ROWS_PER_TASK,
-) -> list[HotKey]:
-    """Keys with more than `rows_per_task` rows, with exact counts.
+def frequent_hashes(
+    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
+) -> list[int]:
+    """`xxhash64` of the key values that may have more than `rows_per_task` rows.
 
-    Runs Spark jobs. The first reads the key columns only: scan tasks are put in
+    Runs a Spark job that reads the key columns only: scan tasks are put in
     groups, each group keeps one frequent-items sketch, and what the sketches
-    report is added up per key; no row is shuffled. The second, only when there
-    are candidates, counts those exactly. The driver gets at most MAX_HOT keys.
+    report is added up per key. No row is shuffled, and the driver gets at most
+    MAX_HOT hashes.
     """
-    keyed = df.where(has_keys(keys))
-    key_hash = F.xxhash64(*keys)
     # Groups in which a key is rare do not report it, hence the halved threshold.
-    candidates = (
-        keyed.select(key_hash.alias("h"))
+    found = (
+        df.select(F.xxhash64(*keys).alias("h"))
         .groupBy((F.spark_partition_id() % TASK_GROUPS).alias("g"))
         .agg(F.expr(f"approx_top_k(h, {MAX_HOT}, {TRACKED})").alias("top"))
         .select(F.inline("top"))
@@ -68,12 +63,26 @@ def find_hot_keys(
         .where(F.col("n") > rows_per_task // 2)
         .orderBy(F.desc("n"))
         .limit(MAX_HOT)
-        .collect()
     )
+    return [row["item"] for row in found.collect()]
+
+
+def find_hot_keys(
+    df: DataFrame,
+    keys: Sequence[str] = INVOICE_KEYS,
+    order: Sequence[str] = VERSION_ORDER,
+    rows_per_task: int = ROWS_PER_TASK,
+) -> list[HotKey]:
+    """Keys with more than `rows_per_task` rows, counted exactly; NULL keys are left out.
+
+    Runs `frequent_hashes`, then counts its candidates if there are any.
+    """
+    keyed = df.where(has_keys(keys))
+    candidates = frequent_hashes(keyed, keys, rows_per_task)
     if not candidates:
         return []
     exact = (
-        keyed.where(key_hash.isin([c["item"] for c in candidates]))
+        keyed.where(F.xxhash64(*keys).isin(candidates))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.max(version_number(order)).alias("latest"))
         .where(F.col("n") > rows_per_task)

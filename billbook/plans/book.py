@@ -3,81 +3,103 @@
 Windows are cumulative and a row has one class per class column, so a variable is
 an aggregate over one *cell* (class, window). The plan is:
 
-1. Aggregate by customer, classes and band (the shortest window holding the row).
-   Combining before the shuffle makes a customer of any size at most
-   (classes x bands) rows, 180 with the default spec.
-2. Repartition those by customer; every later step stays in that layout.
-3. Repeat each row into the cells that contain it and aggregate per cell.
-4. Per customer, collect its cells (35 at most) in a map and read each variable
+1. Shuffle narrow stage rows by customer; every later step stays in that layout.
+2. Repeat each row into the cells that contain it and aggregate per cell. A row
+   carries the number of its *band*, the shortest window holding it; its cells
+   are that window and the longer ones.
+3. Per customer, collect its cells (35 at most) in a map and read each variable
    from it.
 
-Repeating after step 1 rather than before it keeps the rows that are shuffled to
-one per band instead of up to ten per invoice.
+Rows are repeated after the shuffle, so what travels is one narrow row per
+invoice and payment. Customers with more rows than a task should get are looked
+for first; theirs are combined per (classes, band) before they travel, which
+leaves at most 180 rows of any customer.
 """
 
 from __future__ import annotations
 
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billbook.functions.calendar import in_window, window_band
-from billbook.plans.spec import BookSpec, Variable, catalog, expand
+from billbook.functions.calendar import window_band, window_flags
+from billbook.operators.skew import ROWS_PER_TASK, frequent_hashes
+from billbook.plans.spec import CATALOG_COLUMNS, BookSpec, Variable, expand
 
 CELL = "_cell"
 BAND = "_band"
 
 
-def feature_book(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
-    """One row per customer, one column per variable; an empty cell is NULL."""
-    cells = book_cells(stage, spec, ref_date)
-    values = F.struct(*[c for c in cells.columns if c not in (*spec.group_keys, CELL)])
-    cell_map = F.map_from_entries(
-        F.collect_list(F.when(F.col(CELL).isNotNull(), F.struct(F.col(CELL), values)))
-    )
-    packed = cells.groupBy(*spec.group_keys).agg(cell_map.alias("_cells"))
+def feature_book(
+    stage: DataFrame,
+    spec: BookSpec,
+    ref_date: date | str,
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
+    """One row per customer, one column per variable; an empty cell is NULL.
+
+    `stage` should be a written table: with a `rows_per_task` it is scanned once
+    for customers above it, reading their keys only.
+    """
     numbers = _cell_numbers(spec)
-    return packed.select(
-        *spec.group_keys,
-        *[
-            F.col("_cells")[numbers[v.class_column, v.class_value, v.months]][_slot(v)].alias(v.name)
-            for v in expand(spec)
-        ],
+    # As text: building hundreds of Column objects one by one takes seconds on the driver.
+    columns = [f"`{k}`" for k in spec.group_keys] + [
+        f"_cells[{numbers[v.class_column, v.class_value, v.months]}].`{_slot(v)}` as {v.name}"
+        for v in expand(spec)
+    ]
+
+    def wide(cells: DataFrame) -> DataFrame:
+        values = F.struct(*[c for c in cells.columns if c not in (*spec.group_keys, CELL)])
+        cell_map = F.map_from_entries(
+            F.collect_list(F.when(F.col(CELL).isNotNull(), F.struct(F.col(CELL), values)))
+        )
+        return cells.groupBy(*spec.group_keys).agg(cell_map.alias("_cells")).selectExpr(*columns)
+
+    parts = _split_by_size(stage, spec, rows_per_task)
+    return reduce(
+        DataFrame.unionByName,
+        [wide(book_cells(rows, spec, ref_date, combine_first)) for rows, combine_first in parts],
     )
 
 
-def feature_book_long(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
+def feature_book_long(
+    stage: DataFrame,
+    spec: BookSpec,
+    ref_date: date | str,
+    rows_per_task: int | None = ROWS_PER_TASK,
+) -> DataFrame:
     """One row per customer and variable that has a value, as double.
 
-    Skips step 4 of the wide book. Doubles lose cents above 2**53; the wide book
-    keeps exact types.
+    Skips the last step of the wide book. Doubles lose cents above 2**53; the
+    wide book keeps exact types.
     """
-    spark = stage.sparkSession
-    cells = book_cells(stage, spec, ref_date).where(F.col(CELL).isNotNull())
+    parts = _split_by_size(stage, spec, rows_per_task)
+    cells = reduce(
+        DataFrame.unionByName,
+        [book_cells(rows, spec, ref_date, combine_first) for rows, combine_first in parts],
+    ).where(F.col(CELL).isNotNull())
     slots = [c for c in cells.columns if c not in (*spec.group_keys, CELL)]
     melted = cells.select(
         *spec.group_keys,
         CELL,
-        F.inline(F.array(*[
-            F.struct(F.lit(s).alias("_slot"), F.col(s).cast("double").alias("value")) for s in slots
-        ])),
+        F.posexplode(F.array(*[F.col(s).cast("double") for s in slots])).alias("_slot", "value"),
     ).where(F.col("value").isNotNull())
     numbers = _cell_numbers(spec)
-    names = spark.createDataFrame(
-        [(v.name, numbers[v.class_column, v.class_value, v.months], _slot(v)) for v in expand(spec)],
-        f"variable string, {CELL} int, _slot string",
-    )
-    # Both tables joined here have one row per variable of the spec.
-    return (
-        melted.join(F.broadcast(names), [CELL, "_slot"])
-        .join(F.broadcast(catalog(spark, spec)), "variable")
-        .select(
-            *spec.group_keys, "variable", "class_column", "class_value", "measure", "months",
-            "aggregate", "value",
-        )
+    names = stage.sparkSession.createDataFrame(
+        [
+            (
+                numbers[v.class_column, v.class_value, v.months], slots.index(_slot(v)),
+                v.name, v.class_column, v.class_value, v.measure, v.months, v.aggregate,
+            )
+            for v in expand(spec)
+        ],
+        f"{CELL} int, _slot int, {CATALOG_COLUMNS}",
     )
+    # One row per variable of the spec, whatever the size of the data.
+    return melted.join(F.broadcast(names), [CELL, "_slot"]).drop(CELL, "_slot")
 
 
 def feature_book_direct(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
@@ -86,35 +108,59 @@ def feature_book_direct(stage: DataFrame, spec: BookSpec, ref_date: date | str)
     Simple, and several times slower: every row updates every variable. Kept to
     check `feature_book` against.
     """
-    functions = {"SUM": F.sum, "AVG": F.avg, "MAX": F.max, "MIN": F.min}
-
-    def value(v: Variable) -> Column:
-        inside = in_window(F.col(spec.date_column), ref_date, v.months, spec.include_after_ref)
-        chosen = F.when((F.col(v.class_column) == v.class_value) & inside, F.col(v.measure))
-        return functions[v.aggregate](chosen).alias(v.name)
-
-    return stage.groupBy(*spec.group_keys).agg(*[value(v) for v in expand(spec)])
+    day = F.col(spec.date_column)
+    flags = window_flags(day, ref_date, spec.windows, spec.include_after_ref)
+    flagged = stage.withColumns(flags)
+    return flagged.groupBy(*spec.group_keys).agg(*[
+        F.expr(
+            f"{v.aggregate}(case when {v.class_column} = '{v.class_value}' "
+            f"and flg_u{v.months}m = 1 then {v.measure} end) as {v.name}"
+        )
+        for v in expand(spec)
+    ])
 
 
-def book_cells(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
+def book_cells(
+    stage: DataFrame, spec: BookSpec, ref_date: date | str, combine_first: bool = True
+) -> DataFrame:
     """One row per customer and cell with a column per (measure, aggregate).
 
     Rows outside every cell leave their customer with a row whose cell is NULL.
+    `combine_first` aggregates by class and band ahead of the shuffle by
+    customer: safe for customers of any size, one more shuffle for the others.
     """
     codes = [f"_class{i}" for i in range(len(spec.classes))]
-    banded = _banded(stage, spec, ref_date, codes)
-    per_band = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*_partials(spec))
-    by_customer = per_band.repartition(*[F.col(k) for k in spec.group_keys])
-
-    partial_names = [c for c in per_band.columns if c not in (*spec.group_keys, *codes, BAND)]
-    in_cells = by_customer.select(
-        *spec.group_keys, F.explode_outer(_cells_of(spec, codes)).alias(CELL), *partial_names
+    rows, aggregates = _banded(stage, spec, ref_date, codes), _partials(spec)
+    if combine_first:
+        rows = rows.groupBy(*spec.group_keys, *codes, BAND).agg(*aggregates)
+        aggregates = _merged(spec)
+    values = [c for c in rows.columns if c not in (*spec.group_keys, *codes, BAND)]
+    per_cell = (
+        rows.repartition(*[F.col(k) for k in spec.group_keys])
+        .select(*spec.group_keys, F.explode_outer(_cells_of(spec, codes)).alias(CELL), *values)
+        .groupBy(*spec.group_keys, CELL)
+        .agg(*aggregates)
     )
-    per_cell = in_cells.groupBy(*spec.group_keys, CELL).agg(*_merged(spec))
     types = {m: stage.schema[m].dataType for m, _ in spec.measures}
     return per_cell.select(*spec.group_keys, CELL, *_finished(spec, types))
 
 
+def _split_by_size(
+    stage: DataFrame, spec: BookSpec, rows_per_task: int | None
+) -> list[tuple[DataFrame, bool]]:
+    """Disjoint parts of `stage`, whole customers each, with whether to combine first.
+
+    Hash collisions only send a small customer along with the large ones.
+    """
+    if rows_per_task is None:
+        return [(stage, True)]
+    large = frequent_hashes(stage, spec.group_keys, rows_per_task)
+    if not large:
+        return [(stage, False)]
+    is_large = F.xxhash64(*spec.group_keys).isin(large)
+    return [(stage.where(~is_large), False), (stage.where(is_large), True)]
+
+
 def _banded(stage: DataFrame, spec: BookSpec, ref_date: date | str, codes: list[str]) -> DataFrame:
     """Classes as small numbers, NULL when the row has no class of the spec or no window."""
     band = window_band(

@@ -7,8 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame, SparkSession
 
 from billbook.config import INTENDED, Zones, as_date
-from billbook.operators.standardize import STANDARDIZE
 from billbook.operators.skew import ROWS_PER_TASK
+from billbook.operators.standardize import STANDARDIZE
 from billbook.plans.book import feature_book
 from billbook.plans.spec import BookSpec
 from billbook.plans.stage import build_stage
@@ -62,4 +62,4 @@ def book_job(
     replace_months(stage, zones.curated("stage"))
 
     written = read_stage(spark, zones, f"{as_date(ref_date):%Y%m}")
-    replace_months(feature_book(written, spec, ref_date), zones.curated("book"))
+    replace_months(feature_book(written, spec, ref_date, rows_per_task), zones.curated("book"))

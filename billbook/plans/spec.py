@@ -30,6 +30,11 @@ MEASURES = (
     ("fvl_pct_fatura_pgto", ("AVG", "MAX", "MIN")),
 )
 
+CATALOG_COLUMNS = (
+    "variable string, class_column string, class_value string, measure string, "
+    "months int, aggregate string"
+)
+
 
 @dataclass(frozen=True)
 class Variable:
@@ -95,8 +100,4 @@ def catalog(spark: SparkSession, spec: BookSpec = BookSpec()) -> DataFrame:
         (v.name, v.class_column, v.class_value, v.measure, v.months, v.aggregate)
         for v in expand(spec)
     ]
-    return spark.createDataFrame(
-        rows,
-        "variable string, class_column string, class_value string, measure string, "
-        "months int, aggregate string",
-    )
+    return spark.createDataFrame(rows, CATALOG_COLUMNS)

@@ -12,6 +12,8 @@ of this module is `workload.oracle`.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -143,14 +145,25 @@ def payment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _lakes: dict[tuple[str, str], Zones] = {}
+_done: set[tuple[str, str, str]] = set()
+
+
+def once(spark: SparkSession, sf_dir: str, name: str, action: Callable[[], None]) -> None:
+    """Run `action` the first time this session asks for `name`."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _done:
+        action()
+        _done.add(key)
 
 
 def lake(spark: SparkSession, sf_dir: str) -> Zones:
     """A lake whose raw zone holds all of both tables; written once per session."""
     key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _lakes:
-        zones = Zones(scratch_dir(spark, "lake"))
-        write_raw(invoices(spark, sf_dir), zones.raw("faturas"))
-        write_raw(payments(spark, sf_dir), zones.raw("pagamentos"))
-        _lakes[key] = zones
-    return _lakes[key]
+    zones = _lakes.setdefault(key, Zones(scratch_dir(spark, "lake")))
+
+    def write() -> None:
+        write_raw(invoices(spark, sf_dir), zones.raw("faturas"), "overwrite")
+        write_raw(payments(spark, sf_dir), zones.raw("pagamentos"), "overwrite")
+
+    once(spark, sf_dir, "raw", write)
+    return zones

@@ -20,7 +20,7 @@ from billbook.session import scratch_dir
 from billbook.sinks.lake import replace_months, write_raw
 from billbook.schema import CONTROL
 from billbook.sources.ingestion import extract_snapshot, read_ingestion
-from billbook.sources.lake import in_months, read_look_back, read_raw, register_zones
+from billbook.sources.lake import in_months, read_look_back, read_raw, read_stage, register_zones
 from billbook.streaming.daily_load import load_arrivals
 from workload import billing
 from workload.billing import LOADS, REF_DATE, RUN_TS
@@ -30,20 +30,15 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 def present(df: DataFrame) -> DataFrame:
     """Types that any engine compares alike: exact ones as double, dates as text, ints as bigint."""
-
-    def column(field: T.StructField):
-        c = F.col(field.name)
-        if isinstance(field.dataType, T.DecimalType):
-            return c.cast("double")
-        if isinstance(field.dataType, T.FloatType):
-            return F.round(c.cast("double"), 4)
-        if isinstance(field.dataType, T.DateType):
-            return F.date_format(c, "yyyy-MM-dd")
-        if isinstance(field.dataType, T.IntegerType):
-            return c.cast("bigint")
-        return c
-
-    return df.select(*[column(f).alias(f.name) for f in df.schema])
+    shown = {
+        T.DecimalType: "cast({0} as double)",
+        T.FloatType: "round(cast({0} as double), 4)",
+        T.DateType: "date_format({0}, 'yyyy-MM-dd')",
+        T.IntegerType: "cast({0} as bigint)",
+    }
+    return df.selectExpr(
+        *[shown.get(type(f.dataType), "{0}").format(f.name) + f" as {f.name}" for f in df.schema]
+    )
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -220,21 +215,28 @@ def _present_book(df: DataFrame, spec: BookSpec) -> DataFrame:
         v.name for v in expand(spec) if v.measure == "fvl_pct_fatura_pgto" and v.aggregate == "AVG"
     }
     shown = present(df)
-    return shown.select(
-        *[F.round(c, 4).alias(c) if c in rounded else F.col(c) for c in shown.columns]
+    # As text, like the book itself: hundreds of columns.
+    return shown.selectExpr(
+        *[f"round({c}, 4) as {c}" if c in rounded else c for c in shown.columns]
     )
 
 
+def _written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stage as the book job sees it: read back from its files, written once per session."""
+    zones = billing.lake(spark, sf_dir)
+    billing.once(spark, sf_dir, "stage", lambda: replace_months(_stage(spark, zones), zones.curated("stage")))
+    return read_stage(spark, zones, f"{month_bounds(REF_DATE)[1]}")
+
+
 def book(spec: BookSpec) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        rows = _stage(spark, billing.lake(spark, sf_dir))
-        return _present_book(feature_book(rows, spec, REF_DATE), spec)
+        return _present_book(feature_book(_written_stage(spark, sf_dir), spec, REF_DATE), spec)
 
     return query
 
 
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_book_long(_stage(spark, billing.lake(spark, sf_dir)), BookSpec(), REF_DATE)
+    return feature_book_long(_written_stage(spark, sf_dir), BookSpec(), REF_DATE)
 
 
 def book_long(spark: SparkSession, sf_dir: str) -> DataFrame:
