@@ -8,7 +8,13 @@ from pyspark.sql import functions as F
 from billbook.config import Zones
 from billbook.schema import INGESTION
 
-CSV = {"header": "true", "escape": '"'}
+# Quotes are doubled and blanks kept, as most database extracts have it.
+CSV = {
+    "header": "true",
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
 
 
 def extract_snapshot(df: DataFrame, zones: Zones, table: str, run_ts: str) -> str:

@@ -1,0 +1,51 @@
+"""Shapes of the physical plans that matter at scale."""
+
+import re
+
+import pytest
+from billing_rows import REF_DATE, RUN_TS, random_stage
+
+from billbook.plans.book import feature_book
+from billbook.plans.spec import BookSpec
+from billbook.plans.stage import build_stage
+from billbook.sources.lake import read_look_back
+from workload import billing
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def _plan(df, capsys):
+    df.explain("formatted")
+    return capsys.readouterr().out
+
+
+def test_stage_has_one_shuffle_per_table(spark, no_broadcast, capsys):
+    zones = billing.lake(spark, SF)
+    inputs = [read_look_back(spark, zones, t, billing.REF_DATE) for t in ("faturas", "pagamentos")]
+    capsys.readouterr()
+    plan = _plan(build_stage(*inputs, billing.REF_DATE, RUN_TS), capsys)
+    assert plan.count("Arguments: hashpartitioning") == 2
+    assert len(re.findall(r"^\(\d+\) SortMergeJoin", plan, re.M)) == 1
+    assert len(re.findall(r"^\(\d+\) WindowGroupLimit", plan, re.M)) == 4
+    filters = re.findall(r"PartitionFilters: \[(.*)\]\nPushedFilters: \[(.*)\]", plan)
+    assert len(filters) == 2
+    assert all("199902" in partition and "IsNotNull(id_cliente)" in pushed for partition, pushed in filters)
+
+
+def test_book_has_one_shuffle(spark, tmp_path, capsys):
+    path = str(tmp_path / "stage")
+    random_stage(spark, rows=50).write.parquet(path)
+    stage = spark.read.parquet(path)
+    book = feature_book(stage, BookSpec(), REF_DATE)
+    capsys.readouterr()
+    assert _plan(book, capsys).count("Arguments: hashpartitioning") == 1
+    combined = feature_book(stage, BookSpec(), REF_DATE, rows_per_task=None)
+    assert _plan(combined, capsys).count("Arguments: hashpartitioning") == 2
+    assert "BatchEvalPython" not in _plan(book, capsys)
