@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -47,11 +47,15 @@ def frequent_hashes(
 ) -> list[int]:
     """`xxhash64` of the key values that may have more than `rows_per_task` rows.
 
-    Runs a Spark job that reads the key columns only: scan tasks are put in
-    groups, each group keeps one frequent-items sketch, and what the sketches
-    report is added up per key. No row is shuffled, and the driver gets at most
-    MAX_HOT hashes.
+    Meant for tables rather than frames still to be computed, because it runs
+    Spark jobs. The first counts the rows, which Parquet answers from its
+    footers: a table within one task's worth has no such key. The second reads
+    the key columns only: scan tasks are put in groups, each group keeps one
+    frequent-items sketch, and what the sketches report is added up per key. No
+    row is shuffled, and the driver gets at most MAX_HOT hashes.
     """
+    if df.count() <= rows_per_task:
+        return []
     # Groups in which a key is rare do not report it, hence the halved threshold.
     found = (
         df.select(F.xxhash64(*keys).alias("h"))
@@ -77,12 +81,11 @@ def find_hot_keys(
 
     Runs `frequent_hashes`, then counts its candidates if there are any.
     """
-    keyed = df.where(has_keys(keys))
-    candidates = frequent_hashes(keyed, keys, rows_per_task)
+    candidates = frequent_hashes(df, keys, rows_per_task)
     if not candidates:
         return []
     exact = (
-        keyed.where(F.xxhash64(*keys).isin(candidates))
+        df.where(has_keys(keys) & F.xxhash64(*keys).isin(candidates))
         .groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("n"), F.max(version_number(order)).alias("latest"))
         .where(F.col("n") > rows_per_task)
@@ -101,20 +104,23 @@ def _fixed_hash(df: DataFrame) -> Column:
 
 def salted(
     df: DataFrame,
-    spark: SparkSession,
     split: Sequence[HotKey],
     copy: Sequence[HotKey],
     rows_per_task: int,
     keys: Sequence[str] = INVOICE_KEYS,
     order: Sequence[str] = VERSION_ORDER,
+    all_versions: bool = False,
 ) -> DataFrame:
     """Add `SALT`: spread the `split` keys, repeat the `copy` keys once per salt.
 
     Rows of a `split` key that are not its latest version are dropped here, on
     the map side, so that deduplication per (key, salt) is deduplication per
-    key. `COPIED` marks the repeated rows. The broadcast table holds the hot
-    keys only (see `find_hot_keys` for its bound).
+    key; `all_versions` keeps them. `COPIED` marks the repeated rows. Rows with
+    a NULL key, which an outer join would send to one task although they match
+    nothing, are spread too. The broadcast table holds the hot keys only (see
+    `frequent_hashes` for its bound).
     """
+    spark = df.sparkSession
     table_type = T.StructType(
         [df.schema[k] for k in keys]
         + [
@@ -123,9 +129,13 @@ def salted(
             T.StructField("_latest", T.DecimalType(20, 0)),
         ]
     )
-    latest = {h.key: h.latest for h in split}
+    latest = {} if all_versions else {h.key: h.latest for h in split}
     copied = {h.key for h in copy}
-    rows = [(*h.key, h.splits(rows_per_task), False, h.latest) for h in split if h.key not in copied]
+    rows = [
+        (*h.key, h.splits(rows_per_task), False, latest.get(h.key))
+        for h in split
+        if h.key not in copied
+    ]
     # A key hot on both sides is copied here, but still reduced to its latest version first.
     rows += [(*h.key, h.splits(rows_per_task), True, latest.get(h.key)) for h in copy]
     table = F.broadcast(spark.createDataFrame(rows, table_type))
@@ -134,9 +144,11 @@ def salted(
     kept = marked.where(
         F.col("_latest").isNull() | (version_number(order) == F.col("_latest").cast(VERSION_TYPE))
     )
+    ways = int(spark.conf.get("spark.sql.shuffle.partitions"))
     salts = (
         F.when(F.col(COPIED), F.sequence(F.lit(0), F.col("_splits") - 1))
         .when(~F.col(COPIED), F.array(F.pmod("_hash", F.col("_splits")).cast("int")))
+        .when(~has_keys(keys), F.array(F.pmod("_hash", F.lit(ways)).cast("int")))
         .otherwise(F.array(F.lit(0)))
     )
     return kept.select(
@@ -144,15 +156,3 @@ def salted(
         F.coalesce(F.col(COPIED), F.lit(False)).alias(COPIED),
         F.explode(salts).alias(SALT),
     )
-
-
-def spread_null_keys(df: DataFrame, keys: Sequence[str], ways: int) -> DataFrame:
-    """Add `SALT`: rows with a NULL key over `ways` salts, all others on salt 0.
-
-    An outer join sends NULL keys, which match nothing, to one task; joining on
-    the salt as well spreads them.
-    """
-    return df.withColumn(
-        SALT,
-        F.when(has_keys(keys), F.lit(0)).otherwise(F.pmod(_fixed_hash(df), F.lit(ways)).cast("int")),
-    )

@@ -6,14 +6,16 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from billbook.config import INTENDED, Zones, as_date
+from billbook.config import AS_WRITTEN, INTENDED, Zones, as_date
 from billbook.operators.skew import ROWS_PER_TASK
 from billbook.operators.standardize import STANDARDIZE
 from billbook.plans.book import feature_book
 from billbook.plans.spec import BookSpec
 from billbook.plans.stage import build_stage
 from billbook.schema import RAW_NAME
-from billbook.sinks.lake import control_row, replace_months, write_control, write_raw
+from billbook.sinks.lake import (
+    control_row, replace_months, write_control, write_months, write_raw,
+)
 from billbook.sources.ingestion import extract_snapshot, read_ingestion
 from billbook.sources.lake import read_look_back, read_stage
 
@@ -52,14 +54,23 @@ def book_job(
 ) -> None:
     """Stage and book of one reference month, replacing that month in both.
 
-    The book reads the stage back from its files, so deduplication and join run
+    `as_written` replaces the whole stage and appends to the book instead. The
+    book reads the stage back from its files, so deduplication and join run
     once, and a book that fails can be repeated without them.
     """
     months = max(spec.windows)
     invoices = read_look_back(spark, zones, "faturas", ref_date, months)
     payments = read_look_back(spark, zones, "pagamentos", ref_date, months)
     stage = build_stage(invoices, payments, ref_date, run_ts, mode, rows_per_task)
-    replace_months(stage, zones.curated("stage"))
+    literal = mode == AS_WRITTEN
+    if literal:
+        write_months(stage, zones.curated("stage"), "overwrite")
+    else:
+        replace_months(stage, zones.curated("stage"))
 
     written = read_stage(spark, zones, f"{as_date(ref_date):%Y%m}")
-    replace_months(feature_book(written, spec, ref_date, rows_per_task), zones.curated("book"))
+    book = feature_book(written, spec, ref_date, rows_per_task)
+    if literal:
+        write_months(book, zones.curated("book"), "append")
+    else:
+        replace_months(book, zones.curated("book"))

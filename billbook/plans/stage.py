@@ -11,7 +11,8 @@ from billbook.config import AS_WRITTEN, INTENDED, as_date, check_mode, check_run
 from billbook.functions import payment
 from billbook.operators import skew
 from billbook.operators.dedup import dedup_latest
-from billbook.operators.join import JOINED, join_payments, join_payments_salted
+from billbook.operators.join import join_payments, join_payments_salted
+from billbook.operators.standardize import has_keys
 from billbook.schema import INVOICE_KEYS
 
 TIMING = "fbc_classificacao_dias_pagamento"
@@ -28,38 +29,31 @@ def latest_joined(
 
     Two shuffles in all: each table is shuffled once for its deduplication and
     the join reuses both layouts. Keys with more than `rows_per_task` rows are
-    looked for first (two narrow scans, see `find_hot_keys`) and salted through
-    the same plan if there are any; None skips the search.
+    looked for first (see `skew.frequent_hashes`) and salted through the same
+    plan if there are any; None skips the search.
     """
-    if check_mode(mode) == AS_WRITTEN:
-        return _all_versions_joined(invoices, payments)
-    hot_inv = hot_pay = []
+    hot_invoices, hot_payments = [], []
     if rows_per_task is not None:
-        hot_inv = skew.find_hot_keys(invoices, rows_per_task=rows_per_task)
-        hot_pay = skew.find_hot_keys(payments, rows_per_task=rows_per_task)
-    if not hot_inv and not hot_pay:
+        hot_invoices = skew.find_hot_keys(invoices, rows_per_task=rows_per_task)
+        hot_payments = skew.find_hot_keys(payments, rows_per_task=rows_per_task)
+    if check_mode(mode) == INTENDED and not hot_invoices and not hot_payments:
         return join_payments(dedup_latest(invoices), dedup_latest(payments))
 
     # A key hot on both sides is split on the payment side.
-    split_pay = {h.key for h in hot_pay}
-    only_inv = [h for h in hot_inv if h.key not in split_pay]
-    spark = invoices.sparkSession
-    keys = (*INVOICE_KEYS, skew.SALT)
-    left = skew.salted(invoices, spark, split=hot_inv, copy=hot_pay, rows_per_task=rows_per_task)
-    right = skew.salted(payments, spark, split=hot_pay, copy=only_inv, rows_per_task=rows_per_task)
-    return join_payments_salted(dedup_latest(left, keys), dedup_latest(right, keys))
-
-
-def _all_versions_joined(invoices: DataFrame, payments: DataFrame) -> DataFrame:
-    """`as_written`: every version of both sides, plus the all-NULL invoices.
-
-    Those come without a key, so they are spread before the join.
-    """
-    keys = (*INVOICE_KEYS, skew.SALT)
-    ways = int(invoices.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    left = skew.spread_null_keys(dedup_latest(invoices, mode=AS_WRITTEN), INVOICE_KEYS, ways)
-    right = dedup_latest(payments, mode=AS_WRITTEN).withColumn(skew.SALT, F.lit(0))
-    return join_payments(left, right, keys).select(*JOINED)
+    split_payments = {h.key for h in hot_payments}
+    invoices_only = [h for h in hot_invoices if h.key not in split_payments]
+    every = mode == AS_WRITTEN
+    if every:
+        # All versions of both sides; the all-NULL rows of the payments match no invoice.
+        invoices = dedup_latest(invoices, mode=mode)
+        payments = payments.where(has_keys(INVOICE_KEYS))
+    size = rows_per_task or skew.ROWS_PER_TASK
+    left = skew.salted(invoices, hot_invoices, hot_payments, size, all_versions=every)
+    right = skew.salted(payments, hot_payments, invoices_only, size, all_versions=every)
+    if not every:
+        keys = (*INVOICE_KEYS, skew.SALT)
+        left, right = dedup_latest(left, keys), dedup_latest(right, keys)
+    return join_payments_salted(left, right)
 
 
 def payment_variables(joined: DataFrame, ref_date: date | str, mode: str = INTENDED) -> DataFrame:

@@ -39,6 +39,16 @@ def replace_months(df: DataFrame, path: str) -> None:
     )
 
 
+def write_months(df: DataFrame, path: str, mode: str) -> None:
+    """Plain `append`, or `overwrite` of the whole table, under one directory per `ref`."""
+    (
+        df.write.mode(mode)
+        .option("partitionOverwriteMode", "static")
+        .partitionBy("ref")
+        .parquet(path)
+    )
+
+
 def control_row(spark: SparkSession, table: str, run_ts: str, rows: int) -> DataFrame:
     """Audit of one load: table, run, rows."""
     return spark.createDataFrame([(table, check_run_ts(run_ts), rows)], CONTROL)

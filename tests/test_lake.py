@@ -153,6 +153,12 @@ def test_as_written_job_counts_both_loads(spark, zones):
     stage = spark.read.parquet(zones.curated("stage"))
     assert stage.count() == 4
     assert {r["data_emissao"] for r in stage.collect()} == {date(2024, 1, 5)}
+    # a rerun doubles the book, and another month drops the first from the stage
+    book_job(spark, zones, REF_DATE, RUN_TS, mode=AS_WRITTEN)
+    assert spark.read.parquet(zones.curated("book")).count() == 2
+    book_job(spark, zones, "2024-01-01", RUN_TS, mode=AS_WRITTEN)
+    stage = spark.read.parquet(zones.curated("stage"))
+    assert {r["ref"] for r in stage.select("ref").collect()} == {202401}
 
 
 def test_sql_over_the_lake(spark, zones):

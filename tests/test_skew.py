@@ -64,7 +64,7 @@ def test_salting_spreads_a_hot_key(spark):
 
     _, pay = _tables(spark, hot_payment=True)
     hot = find_hot_keys(pay, rows_per_task=20)
-    rows = salted(pay.repartition(4), spark, hot, [], 20).where("id_fatura = 2")
+    rows = salted(pay.repartition(4), hot, [], 20).where("id_fatura = 2")
     assert rows.select(SALT).distinct().count() >= 2
     assert rows.where("ref = 202312").count() == 0
 
@@ -82,15 +82,31 @@ def test_no_rows(spark):
     assert find_hot_keys(inv.where("id_fatura < 0")) == []
 
 
-def test_as_written_spreads_null_keys_without_changing_the_result(spark):
-    inv, pay = frames(
-        spark,
-        [invoice(n, cliente=None) for n in range(30)] + [invoice(1), invoice(1, load=LOAD_2), invoice(2)],
-        [payment(1, "2024-01-05", "5.00"), payment(1, "2024-01-06", "5.00", load=LOAD_2),
-         payment(3, "2024-01-06", "5.00", cliente=None)],
+@pytest.mark.parametrize("rows_per_task", [20, 1000, None])
+def test_as_written_equals_its_sql(spark, rows_per_task):
+    """All versions joined, with hot keys on either side and many invoices without a customer."""
+    inv, pay = _tables(spark, hot_invoice=True, hot_payment=True)
+    nameless, unmatched = frames(
+        spark, [invoice(n, cliente=None) for n in range(30)],
+        [payment(3, "2024-01-06", "5.00", cliente=None)],
     )
-    rows = _rows(latest_joined(inv, pay, AS_WRITTEN))
-    assert sum(rows.values()) == 30 + 2 * 2 + 1
+    inv, pay = inv.unionByName(nameless), pay.unionByName(unmatched)
+    inv.createOrReplaceTempView("inv_all")
+    pay.createOrReplaceTempView("pay_all")
+    literal = spark.sql("""
+        with i as (
+            select b.* from (select distinct id_cliente, id_fatura from inv_all) a
+            left join inv_all b on a.id_cliente = b.id_cliente and a.id_fatura = b.id_fatura
+        ), p as (
+            select b.* from (select distinct id_cliente, id_fatura from pay_all) a
+            left join pay_all b on a.id_cliente = b.id_cliente and a.id_fatura = b.id_fatura
+        )
+        select i.id_fatura, i.id_cliente, i.data_emissao, i.data_vencimento, i.valor_fatura,
+               i.valor_pagamento_minimo, p.data_pagamento, p.valor_pagamento
+        from i left join p on i.id_fatura = p.id_fatura and i.id_cliente = p.id_cliente
+    """)
+    rows = _rows(latest_joined(inv, pay, AS_WRITTEN, rows_per_task))
+    assert rows == _rows(literal)
     assert rows[(None,) * 8] == 30
 
 

@@ -221,7 +221,7 @@ def _present_book(df: DataFrame, spec: BookSpec) -> DataFrame:
     )
 
 
-def _written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
+def written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage as the book job sees it: read back from its files, written once per session."""
     zones = billing.lake(spark, sf_dir)
     billing.once(spark, sf_dir, "stage", lambda: replace_months(_stage(spark, zones), zones.curated("stage")))
@@ -230,13 +230,13 @@ def _written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book(spec: BookSpec) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _present_book(feature_book(_written_stage(spark, sf_dir), spec, REF_DATE), spec)
+        return _present_book(feature_book(written_stage(spark, sf_dir), spec, REF_DATE), spec)
 
     return query
 
 
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feature_book_long(_written_stage(spark, sf_dir), BookSpec(), REF_DATE)
+    return feature_book_long(written_stage(spark, sf_dir), BookSpec(), REF_DATE)
 
 
 def book_long(spark: SparkSession, sf_dir: str) -> DataFrame:
