@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,15 +93,6 @@ def find_hot_keys(
     return [HotKey(tuple(r[k] for k in keys), r["n"], r["latest"]) for r in exact.collect()]
 
 
-def _fixed_hash(df: DataFrame) -> Column:
-    """Varies between rows and, for identical rows, between input tasks.
-
-    Depends on what a task reads and not on the order it reads it in, so a
-    re-run task places every row where it did before.
-    """
-    return F.xxhash64(F.spark_partition_id(), *df.columns)
-
-
 def salted(
     df: DataFrame,
     split: Sequence[HotKey],
@@ -117,42 +108,47 @@ def salted(
     the map side, so that deduplication per (key, salt) is deduplication per
     key; `all_versions` keeps them. `COPIED` marks the repeated rows. Rows with
     a NULL key, which an outer join would send to one task although they match
-    nothing, are spread too. The broadcast table holds the hot keys only (see
-    `frequent_hashes` for its bound).
+    nothing, are spread too.
+
+    The broadcast table has one row per `split` key and one per salt of a `copy`
+    key: at most MAX_HOT plus (rows of the table / `rows_per_task`) rows.
     """
     spark = df.sparkSession
     table_type = T.StructType(
         [df.schema[k] for k in keys]
         + [
             T.StructField("_splits", T.IntegerType()),
-            T.StructField(COPIED, T.BooleanType()),
+            T.StructField("_copy", T.IntegerType()),
             T.StructField("_latest", T.DecimalType(20, 0)),
         ]
     )
     latest = {} if all_versions else {h.key: h.latest for h in split}
     copied = {h.key for h in copy}
     rows = [
-        (*h.key, h.splits(rows_per_task), False, latest.get(h.key))
+        (*h.key, h.splits(rows_per_task), None, latest.get(h.key))
         for h in split
         if h.key not in copied
     ]
     # A key hot on both sides is copied here, but still reduced to its latest version first.
-    rows += [(*h.key, h.splits(rows_per_task), True, latest.get(h.key)) for h in copy]
+    rows += [
+        (*h.key, None, salt, latest.get(h.key))
+        for h in copy
+        for salt in range(h.splits(rows_per_task))
+    ]
     table = F.broadcast(spark.createDataFrame(rows, table_type))
 
-    marked = df.withColumn("_hash", _fixed_hash(df)).join(table, list(keys), "left")
+    marked = df.withColumn("_task", F.spark_partition_id()).join(table, list(keys), "left")
     kept = marked.where(
         F.col("_latest").isNull() | (version_number(order) == F.col("_latest").cast(VERSION_TYPE))
     )
+    # Differs between rows and, for identical rows, between input tasks; does not
+    # depend on the order a task reads in, so a re-run places every row as before.
+    place = F.xxhash64("_task", *df.columns)
     ways = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    salts = (
-        F.when(F.col(COPIED), F.sequence(F.lit(0), F.col("_splits") - 1))
-        .when(~F.col(COPIED), F.array(F.pmod("_hash", F.col("_splits")).cast("int")))
-        .when(~has_keys(keys), F.array(F.pmod("_hash", F.lit(ways)).cast("int")))
-        .otherwise(F.array(F.lit(0)))
-    )
-    return kept.select(
-        *df.columns,
-        F.coalesce(F.col(COPIED), F.lit(False)).alias(COPIED),
-        F.explode(salts).alias(SALT),
+    salt = (
+        F.when(F.col("_copy").isNotNull(), F.col("_copy"))
+        .when(F.col("_splits").isNotNull(), F.pmod(place, "_splits").cast("int"))
+        .when(~has_keys(keys), F.pmod(place, F.lit(ways)).cast("int"))
+        .otherwise(0)
     )
+    return kept.select(*df.columns, F.col("_copy").isNotNull().alias(COPIED), salt.alias(SALT))

@@ -8,6 +8,7 @@ once, so an interrupted or repeated call neither loses nor doubles rows.
 from __future__ import annotations
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from billbook.config import INTENDED, Zones
@@ -37,6 +38,7 @@ def load_arrivals(
     )
     return (
         STANDARDIZE[table](arrivals, run_ts, mode)
+        .hint("rebalance", F.col("ref"))
         .writeStream.format("parquet")
         .option("path", zones.raw(name))
         .option("checkpointLocation", zones.stream_state(name))
