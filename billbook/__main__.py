@@ -1,4 +1,4 @@
-"""Command line for a scheduler: `spark-submit -m billbook <job> ...`.
+"""Command line for a scheduler: `spark-submit --py-files billbook.zip run_job.py <job> ...`.
 
 Takes the wall clock here, once, and nowhere else.
 """

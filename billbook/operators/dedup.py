@@ -44,7 +44,7 @@ def dedup_latest(
     Plans as one shuffle with a group limit on both sides of it, and leaves the
     rows partitioned by `keys`, which a following join on them reuses. A key
     whose *tied* rows alone would overload a task should be salted first: see
-    `billbook.plans.stage.latest_joined`.
+    `billbook.plans.stage.latest_versions`.
 
     `as_written` keeps every version, and turns each group with a NULL in its
     key into a single all-NULL row.

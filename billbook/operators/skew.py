@@ -135,20 +135,22 @@ def salted(
         for h in copy
         for salt in range(h.splits(rows_per_task))
     ]
-    table = F.broadcast(spark.createDataFrame(rows, table_type))
-
-    marked = df.withColumn("_task", F.spark_partition_id()).join(table, list(keys), "left")
-    kept = marked.where(
-        F.col("_latest").isNull() | (version_number(order) == F.col("_latest").cast(VERSION_TYPE))
-    )
     # Differs between rows and, for identical rows, between input tasks; does not
     # depend on the order a task reads in, so a re-run places every row as before.
     place = F.xxhash64("_task", *df.columns)
     ways = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ordinary = F.when(~has_keys(keys), F.pmod(place, F.lit(ways)).cast("int")).otherwise(0)
+    marked = df.withColumn("_task", F.spark_partition_id())
+    if not rows:
+        return marked.select(*df.columns, F.lit(False).alias(COPIED), ordinary.alias(SALT))
+
+    table = F.broadcast(spark.createDataFrame(rows, table_type))
+    kept = marked.join(table, list(keys), "left").where(
+        F.col("_latest").isNull() | (version_number(order) == F.col("_latest").cast(VERSION_TYPE))
+    )
     salt = (
         F.when(F.col("_copy").isNotNull(), F.col("_copy"))
         .when(F.col("_splits").isNotNull(), F.pmod(place, "_splits").cast("int"))
-        .when(~has_keys(keys), F.pmod(place, F.lit(ways)).cast("int"))
-        .otherwise(0)
+        .otherwise(ordinary)
     )
     return kept.select(*df.columns, F.col("_copy").isNotNull().alias(COPIED), salt.alias(SALT))

@@ -19,6 +19,19 @@ TIMING = "fbc_classificacao_dias_pagamento"
 AMOUNT = "fbc_classificacao_vlr_pagamento"
 
 
+def latest_versions(
+    df: DataFrame, mode: str = INTENDED, rows_per_task: int | None = skew.ROWS_PER_TASK
+) -> DataFrame:
+    """`dedup_latest` of one table, salting keys whose latest rows would overload a task."""
+    hot = []
+    if check_mode(mode) == INTENDED and rows_per_task is not None:
+        hot = skew.find_hot_keys(df, rows_per_task=rows_per_task)
+    if not hot:
+        return dedup_latest(df, mode=mode)
+    spread = skew.salted(df, hot, [], rows_per_task)
+    return dedup_latest(spread, (*INVOICE_KEYS, skew.SALT)).drop(skew.SALT, skew.COPIED)
+
+
 def latest_joined(
     invoices: DataFrame,
     payments: DataFrame,

@@ -7,10 +7,11 @@ from billing_rows import LOAD_1, LOAD_2, REF_DATE, frames, invoice, payment, ran
 from pyspark.sql import functions as F
 
 from billbook.config import AS_WRITTEN
-from billbook.operators.skew import find_hot_keys, frequent_hashes
+from billbook.operators.dedup import dedup_latest
+from billbook.operators.skew import SALT, find_hot_keys, frequent_hashes, salted
 from billbook.plans.book import feature_book, feature_book_long
 from billbook.plans.spec import BookSpec
-from billbook.plans.stage import latest_joined
+from billbook.plans.stage import latest_joined, latest_versions
 
 
 def _rows(df):
@@ -44,8 +45,17 @@ def test_salted_join(spark, hot_invoice, hot_payment, load_of_hot):
     found_pay = {h.key for h in find_hot_keys(pay, rows_per_task=20)}
     assert found_inv == ({(1, 1), (6, 55)} if hot_invoice else set())
     assert found_pay == ({(2, 2), (3, 999)} if hot_payment else set())
-    salted = latest_joined(inv, pay, rows_per_task=20)
-    assert _rows(salted) == _rows(latest_joined(inv, pay, rows_per_task=None))
+    spread = latest_joined(inv, pay, rows_per_task=20)
+    assert _rows(spread) == _rows(latest_joined(inv, pay, rows_per_task=None))
+
+
+def test_salted_dedup_of_one_table(spark):
+    inv, pay = _tables(spark, hot_invoice=True, hot_payment=True, load_of_hot=LOAD_2)
+    for df in (inv, pay):
+        salted_rows = latest_versions(df, rows_per_task=20)
+        assert salted_rows.columns == df.columns
+        assert _rows(salted_rows) == _rows(dedup_latest(df))
+    assert _rows(latest_versions(inv, AS_WRITTEN, 20)) == _rows(dedup_latest(inv, mode=AS_WRITTEN))
 
 
 def test_key_hot_on_both_sides(spark):
@@ -54,14 +64,12 @@ def test_key_hot_on_both_sides(spark):
         [invoice(1)] * 25 + [invoice(1, total="9.00", ref=202312)] * 25 + [invoice(2)],
         [payment(1, "2024-01-05", "5.00", number=f"p{n}") for n in range(30)],
     )
-    salted = latest_joined(inv, pay, rows_per_task=20)
-    assert _rows(salted) == _rows(latest_joined(inv, pay, rows_per_task=None))
-    assert salted.count() == 25 * 30 + 1
+    spread = latest_joined(inv, pay, rows_per_task=20)
+    assert _rows(spread) == _rows(latest_joined(inv, pay, rows_per_task=None))
+    assert spread.count() == 25 * 30 + 1
 
 
 def test_salting_spreads_a_hot_key(spark):
-    from billbook.operators.skew import SALT, salted
-
     _, pay = _tables(spark, hot_payment=True)
     hot = find_hot_keys(pay, rows_per_task=20)
     rows = salted(pay.repartition(4), hot, [], 20).where("id_fatura = 2")

@@ -10,12 +10,14 @@ from pyspark.sql import types as T
 
 from billbook.config import AS_WRITTEN, INTENDED, Zones, month_bounds
 from billbook.functions.calendar import window_flags
-from billbook.operators.dedup import dedup_latest, latest_key
+from billbook.operators.dedup import latest_key
 from billbook.operators.standardize import rejects, standardize_invoices, standardize_payments
 from billbook.plans.book import feature_book, feature_book_long
 from billbook.plans.jobs import load_job
 from billbook.plans.spec import BookSpec, catalog, expand
-from billbook.plans.stage import AMOUNT, TIMING, build_stage, latest_joined, payment_variables
+from billbook.plans.stage import (
+    AMOUNT, TIMING, build_stage, latest_joined, latest_versions, payment_variables,
+)
 from billbook.session import scratch_dir
 from billbook.sinks.lake import replace_months, write_raw
 from billbook.schema import CONTROL
@@ -146,7 +148,7 @@ def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dedup(name: str, mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return present(dedup_latest(_raw(spark, sf_dir, name), mode=mode))
+        return present(latest_versions(_raw(spark, sf_dir, name), mode))
 
     return query
 
@@ -182,7 +184,7 @@ def variable(*columns: str, mode: str = INTENDED) -> Query:
 
 
 def flags(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = dedup_latest(_raw(spark, sf_dir, "faturas"))
+    rows = latest_versions(_raw(spark, sf_dir, "faturas"))
     marks = window_flags(F.col("data_emissao"), REF_DATE)
     return present(
         rows.select("id_fatura", "id_cliente", "data_emissao", *[c.alias(n) for n, c in marks.items()])
