@@ -3,9 +3,10 @@
 import __spark_entry__ as entry
 import pytest
 from compare import connect, differences
+from workload.oracle import ORACLE
+from workload.queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,6 +16,8 @@ def duck():
 
 def test_every_query_has_its_twin():
     assert QUERIES.keys() == ORACLE.keys()
+    assert QUERIES.keys() <= entry.queries().keys()
+    assert ORACLE.keys() <= entry.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
