@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,7 +13,22 @@ from billbook.session import scratch_dir
 DOCUMENT_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers of this machine import the package from where the driver has it.
+
+    On a cluster it comes with --py-files, and a folder that is not there does no harm.
+    """
+    environment = spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "")
+    if ROOT not in known.split(os.pathsep):
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, ROOT)))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

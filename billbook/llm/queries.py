@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import chat, decontaminate, url_filter
+from billbook.llm import bpe, chat, decontaminate, langid, simhash, token_counts, url_filter
 from billbook.llm.common import table
 from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_URL_FILTER
 
@@ -79,10 +80,47 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "host", at("fetched_at"), "action", "matched_key", at("listed_since"))
 
 
+def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return bpe.decode(encoded, path).select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    counts = token_counts.count_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+    return counts.withColumn("over_limit", F.col("n_tokens") > 512)
+
+
+def _fold(folds: int) -> Column:
+    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+
+
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    prototypes = langid.learn(docs.where(_fold(3) != 1).select("text", "lang"))
+    found = langid.identify(docs.select("doc_id", "text"), prototypes)
+    return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
+    "op5_byte_level_bpe": op5_byte_level_bpe,
+    "op6_token_counts": op6_token_counts,
+    "op8_simhash": op8_simhash,
+    "op10_language_id": op10_language_id,
 }
 
 ORACLE: dict[str, str] = {
