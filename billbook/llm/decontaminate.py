@@ -21,6 +21,8 @@ from billbook.llm.common import ascii_lower, written
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 10
 LISTS = 2
+# No word: stands for the end of a document in the index.
+END = ""
 # Test terms of more bytes than this are joined by a shuffle instead of a broadcast.
 BROADCAST_BYTES = 32 << 20
 
@@ -32,7 +34,10 @@ def words_of(text: Column) -> Column:
 
 
 def windows_of(items: DataFrame, length: int = WINDOW) -> DataFrame:
-    """(item_id, window): `length` consecutive words; an item of fewer, but not none, is one window."""
+    """(item_id, window): `length` consecutive words; an item of fewer, but not none, is one window.
+
+    `window` is the array of its words.
+    """
     words = items.select("item_id", words_of(F.col("text")).alias("words"))
     n = F.size("words")
     starts = F.sequence(F.lit(1), F.greatest(n - length + 1, F.lit(1)))
@@ -55,7 +60,7 @@ def _beside(terms: DataFrame) -> DataFrame:
 
 
 def lookups_of(docs: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(window, seeds): each window's rarest terms as structs (n, offset, term), rarest first.
+    """(wid, window, seeds): the windows numbered, with their rarest terms (n, offset, term), rarest first.
 
     n counts the term in all documents. Windows with a term that no document has are left out.
     """
@@ -67,7 +72,7 @@ def lookups_of(docs: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataF
         .groupBy("term")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    return (
+    found = (
         windows.select("window").distinct()
         .select("window", F.posexplode("window").alias("offset", "term"))
         .join(counts, "term")
@@ -76,21 +81,22 @@ def lookups_of(docs: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataF
         .where(F.size("seeds") == F.size("window"))
         .select("window", F.slice("seeds", 1, lists).alias("seeds"))
     )
+    return written(found.withColumn("wid", F.monotonically_increasing_id()), "windows")
 
 
 def build_index(docs: DataFrame, lookups: DataFrame, reach: int = WINDOW - 1) -> DataFrame:
     """Postings (term, doc, pos, context, at) of the terms that are looked up, as a written table.
 
     `pos` counts words from 0. `context` holds the words up to `reach` before and after, and `at` is
-    the term's place in it, from 0.
+    the term's place in it, from 0. Every row of docs also has a posting of the term END at its end.
     """
-    terms = written(
-        lookups.select(F.explode("seeds.term").alias("term")).distinct(), "lookups"
-    )
+    looked_up = lookups.select(F.explode("seeds.term").alias("term")).distinct()
+    end = docs.sparkSession.range(1).select(F.lit(END).alias("term"))
+    terms = written(looked_up.unionByName(end), "lookups")
     before = F.least(F.col("pos"), F.lit(reach))
     postings = (
         _documents(docs)
-        .select("doc", "words", F.posexplode("words").alias("pos", "term"))
+        .select("doc", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("pos", "term"))
         .join(_beside(terms), "term")
         .select(
             "term", "doc", "pos",
@@ -105,26 +111,32 @@ def _list(index: DataFrame, lookups: DataFrame, i: int) -> DataFrame:
     """Occurrences of each window's i-th seed, shifted to where the window would start."""
     seed = F.col("seeds")[i]
     own = lookups.where(F.size("seeds") > i).select(
-        "window", F.size("seeds").alias("lists"), seed["term"].alias("term"), seed["offset"].alias("offset")
+        "wid", "window", F.size("seeds").alias("lists"),
+        seed["term"].alias("term"), seed["offset"].alias("offset"),
     )
     return index.join(own, "term").withColumn("start", F.col("pos") - F.col("offset"))
 
 
 def phrase_matches(index: DataFrame, lookups: DataFrame, lists: int = LISTS) -> DataFrame:
-    """(doc, start, window) for every exact occurrence; start counts words from 0."""
-    found = _list(index, lookups, 0)
-    for i in range(1, lists):
-        other = _list(index, lookups, i).select("doc", "start", "window")
-        single = found.where(F.col("lists") <= i)
-        found = found.where(F.col("lists") > i).join(other, ["doc", "start", "window"], "leftsemi")
-        found = found.unionByName(single.select(*found.columns))
+    """(doc, start, wid) for every exact occurrence; start counts words from 0.
+
+    The rarest list is compared with its contexts while it is read, so that only what can match is
+    intersected with the other lists.
+    """
     first = F.col("at") - F.col("offset")
     there = F.slice("context", F.greatest(first, F.lit(0)) + 1, F.size("window"))
-    return found.where((first >= 0) & (there == F.col("window"))).select("doc", "start", "window").distinct()
+    key = ["doc", "start", "wid"]
+    found = _list(index, lookups, 0).where((first >= 0) & (there == F.col("window"))).select(*key, "lists")
+    for i in range(1, lists):
+        other = _list(index, lookups, i).where("start >= 0").select(*key)
+        found = found.where(F.col("lists") > i).join(other, key, "leftsemi").unionByName(
+            found.where(F.col("lists") <= i)
+        )
+    return found.select(*key).distinct()
 
 
 def proximity_matches(index: DataFrame, lookups: DataFrame, slop: int) -> DataFrame:
-    """(doc, pos, window): the window's rarest term at `pos`, and all its words within len + slop words.
+    """(doc, pos, wid): the window's rarest term at `pos`, and all its words within len + slop words.
 
     Any order counts. The index needs a reach of the window's length + slop - 1 at least.
     """
@@ -137,7 +149,7 @@ def proximity_matches(index: DataFrame, lookups: DataFrame, slop: int) -> DataFr
         starts,
         lambda s: F.size(F.array_except("window", F.slice("context", s, span))) == 0,
     )
-    return found.where(near).select("doc", "pos", "window").distinct()
+    return found.where(near).select("doc", "pos", "wid").distinct()
 
 
 def _covered(spans: Column) -> Column:
@@ -162,9 +174,10 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
     counts for n_hit only. Without documents or items nothing is hit. Other columns are left out.
     """
     windows = written(windows_of(items, length), "windows")
-    lookups = written(lookups_of(docs, windows), "lists")
+    lookups = lookups_of(docs, windows)
     index = build_index(docs, lookups, length - 1)
-    matches = written(phrase_matches(index, lookups), "matches")
+    matches = phrase_matches(index, lookups).join(lookups.select("wid", "window"), "wid")
+    matches = written(matches.select("doc", "start", "window"), "matches")
     spans = matches.groupBy("doc").agg(
         F.array_sort(
             F.collect_set(F.struct("start", (F.col("start") + F.size("window")).alias("end")))
@@ -176,7 +189,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
         .agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
     )
     hits = spans.join(hit_items, "doc").select("doc", _covered(F.col("spans")).alias("n_hit"), "item_ids")
-    own = _documents(docs).select("doc", F.size("words").cast("long").alias("n_words"))
+    own = index.where(F.col("term") == END).select("doc", F.col("pos").cast("long").alias("n_words"))
     return own.join(hits, "doc", "left").select(
         "doc.doc_id",
         "n_words",
@@ -188,7 +201,7 @@ def contamination(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> Da
 def without_contaminated(docs: DataFrame, items: DataFrame, length: int = WINDOW) -> DataFrame:
     """The rows of docs, columns as they are, in which no test window occurs."""
     windows = written(windows_of(items, length), "windows")
-    lookups = written(lookups_of(docs, windows), "lists")
+    lookups = lookups_of(docs, windows)
     index = build_index(docs, lookups, length - 1)
     hit = written(phrase_matches(index, lookups).select("doc").distinct(), "hit")
     key = F.struct(docs["doc_id"], F.xxhash64(docs["text"]).alias("h"))
