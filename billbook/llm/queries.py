@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import bpe, chat, decontaminate, langid, simhash, token_counts, url_filter
+from billbook.llm import bpe, chat, decontaminate, langid, lm, simhash, token_counts, url_filter
 from billbook.llm.common import table
 from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_URL_FILTER
 
@@ -106,6 +106,14 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = _fold(7) == 2
+    found = lm.score(table(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     prototypes = langid.learn(docs.where(_fold(3) != 1).select("text", "lang"))
@@ -120,6 +128,7 @@ QUERIES: dict[str, Query] = {
     "op5_byte_level_bpe": op5_byte_level_bpe,
     "op6_token_counts": op6_token_counts,
     "op8_simhash": op8_simhash,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
 }
 
