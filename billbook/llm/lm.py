@@ -38,6 +38,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
 from billbook.llm.common import written
 from billbook.llm.elias_fano import EliasFano
 
@@ -62,32 +63,6 @@ def _hash(word: str | bytes) -> int:
     return xxhash.xxh64_intdigest(word) >> 1
 
 
-def _pack(*arrays: np.ndarray) -> bytes:
-    """Arrays of any types, compressed; `_unpack` has them back."""
-    head = ";".join(f"{a.dtype.str},{a.size}" for a in arrays).encode()
-    raw = len(head).to_bytes(4, "little") + head + b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return len(raw).to_bytes(8, "little") + pa.compress(raw, "zstd", asbytes=True)
-
-
-def _unpack(block: bytes) -> list[np.ndarray]:
-    raw = pa.decompress(block[8:], int.from_bytes(block[:8], "little"), "zstd", asbytes=True)
-    size = int.from_bytes(raw[:4], "little")
-    at, arrays = 4 + size, []
-    for kind, n in (part.split(",") for part in raw[4 : 4 + size].decode().split(";")):
-        arrays.append(np.frombuffer(raw, kind, int(n), at))
-        at += arrays[-1].nbytes
-    return arrays
-
-
-def _shard(ids: np.ndarray, shards: int) -> np.ndarray:
-    mixed = ids * np.uint64(0x9E3779B97F4A7C15)
-    return ((mixed >> np.uint64(33)) % np.uint64(shards)).astype(np.int64)
-
-
-def _smallest(counts: np.ndarray) -> np.ndarray:
-    return counts.astype(np.min_scalar_type(int(counts.max(initial=0))))
-
-
 # Chunks
 
 
@@ -124,8 +99,8 @@ def chunks_of(docs: DataFrame, train: Column, chunk_tokens: int = CHUNK_TOKENS)
             rank = np.empty(len(order), np.int64)
             rank[order] = np.arange(len(order))
             every = rank[np.concatenate(tokens)]
-            packed = _pack(
-                np.array(sizes, np.int64), np.array(marks, np.uint8), hashes[order], _smallest(every)
+            packed = pack(
+                np.array(sizes, np.int64), np.array(marks, np.uint8), hashes[order], smallest(every)
             )
             made += 1
             return pa.RecordBatch.from_arrays(
@@ -164,7 +139,7 @@ class _Chunk:
     """A chunk's tokens as numbers of its sorted words, and what follows from them."""
 
     def __init__(self, packed: bytes):
-        self.sizes, marks, self.words, tokens = _unpack(packed)
+        self.sizes, marks, self.words, tokens = unpack(packed)
         self.tokens = tokens.astype(np.int64)
         self.marks = marks.astype(bool)
         self.start = int(np.searchsorted(self.words, np.uint64(_hash(START))))
@@ -185,7 +160,7 @@ class _Chunk:
 
     def bigram_shards(self, contexts: np.ndarray, words: np.ndarray, hot: np.ndarray, shards: int) -> np.ndarray:
         own, other = self.words[contexts], self.words[words]
-        return _shard(np.where(np.isin(own, hot), own ^ (other >> np.uint64(7)), own), shards)
+        return shard_of(np.where(np.isin(own, hot), own ^ (other >> np.uint64(7)), own), shards)
 
 
 def _blocks(chunks: DataFrame, make) -> DataFrame:
@@ -207,13 +182,6 @@ def _blocks(chunks: DataFrame, make) -> DataFrame:
     return chunks.select("chunk", "packed").mapInArrow(run, "chunk bigint, shard bigint, block binary")
 
 
-def _by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
-    """Shards with the places of their entries, in order."""
-    order = np.argsort(shard, kind="stable")
-    numbers, first = np.unique(shard[order], return_index=True)
-    yield from zip(numbers.tolist(), np.split(order, first[1:]), strict=True)
-
-
 # Words
 
 _ANSWER = "chunk bigint, shard bigint, answer binary, tokens bigint, distinct bigint, hot array<struct<id:bigint,n:bigint>>"
@@ -228,11 +196,11 @@ def word_answers(chunks: DataFrame, shards: int, hot_from: int) -> DataFrame:
 
     def blocks(chunk: _Chunk) -> Iterator[tuple[int, bytes]]:
         counts = chunk.word_counts()
-        for number, at in _by_shard(_shard(chunk.words, shards)):
-            yield number, _pack(chunk.words[at], _smallest(counts[at]))
+        for number, at in by_shard(shard_of(chunk.words, shards)):
+            yield number, pack(chunk.words[at], smallest(counts[at]))
 
     def answer(group: pa.Table) -> pa.Table:
-        parts = [_unpack(b.as_py()) for b in group.column("block")]
+        parts = [unpack(b.as_py()) for b in group.column("block")]
         ids, which = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         counts = np.bincount(which, np.concatenate([p[1] for p in parts]).astype(np.float64), len(ids)).astype(np.int64)
         hot = [{"id": int(ids[i]), "n": int(counts[i])} for i in np.nonzero(counts > hot_from)[0]]
@@ -242,7 +210,7 @@ def word_answers(chunks: DataFrame, shards: int, hot_from: int) -> DataFrame:
             {
                 "chunk": pa.array([*group.column("chunk").to_pylist(), None], pa.int64()),
                 "shard": pa.array([group.column("shard")[0].as_py()] * (n + 1), pa.int64()),
-                "answer": pa.array([_pack(_smallest(f)) for f in found] + [None], pa.binary()),
+                "answer": pa.array([pack(smallest(f)) for f in found] + [None], pa.binary()),
                 "tokens": pa.array([None] * n + [int(counts.sum())], pa.int64()),
                 "distinct": pa.array([None] * n + [int((counts > 0).sum())], pa.int64()),
                 "hot": pa.array(
@@ -337,14 +305,14 @@ def bigram_answers(chunks: DataFrame, shards: int, hot: dict[int, int]) -> DataF
 
     def blocks(chunk: _Chunk) -> Iterator[tuple[int, bytes]]:
         contexts, words, counts, _ = chunk.bigrams()
-        for number, at in _by_shard(chunk.bigram_shards(contexts, words, spread, shards)):
+        for number, at in by_shard(chunk.bigram_shards(contexts, words, spread, shards)):
             ids, size = np.unique(chunk.words[contexts[at]], return_counts=True)
-            yield number, _pack(
-                ids, _smallest(size), _five_bytes(_successor(chunk.words[words[at]])), _smallest(counts[at])
+            yield number, pack(
+                ids, smallest(size), _five_bytes(_successor(chunk.words[words[at]])), smallest(counts[at])
             )
 
     def answer(group: pa.Table) -> pa.Table:
-        parts = [_unpack(b.as_py()) for b in group.column("block")]
+        parts = [unpack(b.as_py()) for b in group.column("block")]
         contexts = np.concatenate([np.repeat(p[0], p[1].astype(np.int64)) for p in parts])
         words = np.concatenate([_from_five(p[2]) for p in parts])
         counts = np.concatenate([p[3].astype(np.int64) for p in parts])
@@ -366,7 +334,7 @@ def bigram_answers(chunks: DataFrame, shards: int, hot: dict[int, int]) -> DataF
             {
                 "chunk": group.column("chunk"),
                 "shard": group.column("shard"),
-                "answer": pa.array([_pack(f) for f in found], pa.binary()),
+                "answer": pa.array([pack(f) for f in found], pa.binary()),
             }
         )
 
@@ -439,12 +407,12 @@ def score(
                 chunk = _Chunk(batch.column("packed")[i].as_py())
                 got = {(a["level"], a["shard"]): a["answer"] for a in batch.column("answers")[i].as_py()}
                 counts = np.zeros(len(chunk.words), np.int64)
-                for number, at in _by_shard(_shard(chunk.words, shards)):
-                    counts[at] = _unpack(got[0, number])[0]
+                for number, at in by_shard(shard_of(chunk.words, shards)):
+                    counts[at] = unpack(got[0, number])[0]
                 contexts, followers, _, _ = chunk.bigrams()
                 codes = np.zeros(len(contexts), np.uint16)
-                for number, at in _by_shard(chunk.bigram_shards(contexts, followers, spread, shards)):
-                    codes[at] = _unpack(got[1, number])[0]
+                for number, at in by_shard(chunk.bigram_shards(contexts, followers, spread, shards)):
+                    codes[at] = unpack(got[1, number])[0]
                 known, base, smooth = _scores(chunk, counts, codes, totals)
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -473,7 +441,7 @@ def _texts(chunks: DataFrame) -> int:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = [int(_unpack(p.as_py())[1].sum()) for p in batch.column("packed")]
+            n = [int(unpack(p.as_py())[1].sum()) for p in batch.column("packed")]
             yield pa.RecordBatch.from_arrays([pa.array(n, pa.int64())], ["n"])
 
     return chunks.select("packed").mapInArrow(run, "n bigint").agg(F.sum("n")).first()[0] or 0

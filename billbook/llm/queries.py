@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import bpe, chat, decontaminate, langid, lm, simhash, token_counts, url_filter
+from billbook.llm import bpe, chat, decontaminate, langid, lm, repeats, simhash, token_counts, url_filter
 from billbook.llm.common import table
 from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_URL_FILTER
 
@@ -101,6 +101,15 @@ def _fold(folds: int) -> Column:
     return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
 
 
+def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = repeats.deduplicate(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    total = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
+    return found.select(
+        "doc_id", "n_bytes", total.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -127,6 +136,7 @@ QUERIES: dict[str, Query] = {
     "op3_url_filter": op3_url_filter,
     "op5_byte_level_bpe": op5_byte_level_bpe,
     "op6_token_counts": op6_token_counts,
+    "op7_suffix_array": op7_suffix_array,
     "op8_simhash": op8_simhash,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
