@@ -5,10 +5,11 @@ encoding of itself and each two neighbours are the encoding of their joined byte
 merge crosses the border of two final tokens, so what happens inside two neighbours does
 not depend on the rest. Hence a transducer: a hypothesis is the encoding of a prefix plus
 a node of the token trie for the bytes after it; a token may end where it is compatible
-with the one before. Exactly one hypothesis is complete after every byte. The set of
-hypotheses, without the tokens that all share, is a state of the determinised machine;
-shared tokens are emitted at once, after a lookahead of one token's length at most. States
-and transitions are made when a text first needs them, and kept.
+with the one before. Exactly one hypothesis is complete after every byte: the encoding of the prefix that
+ends there. The set of hypotheses (last token, trie node) is a state of the determinised
+machine, and a transition gives the last token of the prefix. When only the complete
+hypothesis is left, all tokens so far are decided and emitted; no hypothesis outlives the
+longest token. States and transitions are made when a text first needs them, and kept.
 
 Texts are cut by the vocabulary's pattern first; encodings of pieces are cached per
 worker. Caches are cleared when full and never change a result.
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 STATES = 30_000
-PIECES = 300_000
+PAIRS = 300_000
+PIECES = 250_000
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -58,76 +60,85 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.bytes_of = {rank: token for token, rank in ranks.items()}
-        self.child: dict[tuple[int, int], int] = {}
+        # The token trie: node << 8 | byte -> node; the root is 0.
+        self.child: dict[int, int] = {}
         self.token_at: dict[int, int] = {}
-        self.inner: set[int] = set()
+        inner = set()
         for token, rank in ranks.items():
             node = 0
             for byte in token:
-                self.inner.add(node)
-                node = self.child.setdefault((node, byte), len(self.child) + 1)
+                inner.add(node)
+                node = self.child.setdefault(node << 8 | byte, len(self.child) + 1)
             self.token_at[node] = rank
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.leaves = set(self.token_at) - inner
+        self.pairs: dict[int, bool] = {}
         self._clear()
 
     def _clear(self) -> None:
-        start = (((), -1, 0),)
+        start = ((-1, 0),)
         self.number = {start: 0}
         self.states = [start]
-        self.steps: list[dict[int, tuple[int, tuple[int, ...]]]] = [{}]
-        self.ends: list[tuple[int, ...]] = [()]
+        # Transitions: byte -> (next state, token that ends here, whether what is before it is decided).
+        self.steps: list[dict[int, tuple[int, int, bool]]] = [{}]
 
     def _follows(self, last: int, token: int) -> bool:
         """Whether `token` may stand after `last`; -1 is the start of the piece."""
-        known = self.pairs.get((last, token))
+        key = (last + 1) << 32 | token
+        known = self.pairs.get(key)
         if known is None:
             pair = (token,) if last < 0 else (last, token)
-            known = merged(b"".join(self.bytes_of[t] for t in pair), self.ranks) == pair
-            if len(self.pairs) > 10 * STATES:
+            known = merged(b"".join([self.bytes_of[t] for t in pair]), self.ranks) == pair
+            if len(self.pairs) > PAIRS:
                 self.pairs.clear()
-            self.pairs[last, token] = known
+            self.pairs[key] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        hypotheses = []
-        for pending, last, node in self.states[state]:
-            to = self.child.get((node, byte))
+    def _step(self, state: int, byte: int) -> tuple[int, int, bool]:
+        alive, ended = [], -1
+        for last, node in self.states[state]:
+            to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
-            if to in self.inner:
-                hypotheses.append((pending, last, to))
+            if to not in self.leaves:
+                alive.append((last, to))
             token = self.token_at.get(to)
             if token is not None and self._follows(last, token):
-                hypotheses.append(((*pending, token), token, 0))
-        shortest = min((h[0] for h in hypotheses), key=len)
-        shared = 0
-        while shared < len(shortest) and all(h[0][shared] == shortest[shared] for h in hypotheses):
-            shared += 1
-        emitted = shortest[:shared]
-        found = tuple((h[0][shared:], h[1], h[2]) for h in hypotheses)
+                ended = token
+        found = (*alive, (ended, 0))
         to = self.number.get(found)
         if to is None:
             to = self.number[found] = len(self.states)
             self.states.append(found)
             self.steps.append({})
-            self.ends.append(next(h[0] for h in found if h[2] == 0))
-        self.steps[state][byte] = to, emitted
-        return to, emitted
+        step = self.steps[state][byte] = to, ended, not alive
+        return step
 
     def encode(self, piece: bytes) -> list[int]:
-        """Ids of one piece, emitted as its bytes come in."""
+        """Ids of one piece. Tokens are emitted as soon as no other hypothesis is left."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
         if len(self.states) > STATES:
             self._clear()
         ids: list[int] = []
+        open_: list[int] = []  # for each byte since the last emission, the token that may end there
         state, steps = 0, self.steps
         for byte in piece:
-            state, emitted = steps[state].get(byte) or self._step(state, byte)
-            if emitted:
-                ids += emitted
-        return ids + list(self.ends[state])
+            state, ended, decided = steps[state].get(byte) or self._step(state, byte)
+            open_.append(ended)
+            if decided:
+                ids += self._emitted(open_)
+                open_ = []
+        return ids + self._emitted(open_)
+
+    def _emitted(self, ended: list[int]) -> list[int]:
+        """The tokens up to here, found from the last one backwards."""
+        at, ids = len(ended), []
+        while at:
+            token = ended[at - 1]
+            ids.append(token)
+            at -= len(self.bytes_of[token])
+        return ids[::-1]
 
 
 # The second byte's range after each lead byte of UTF-8, and the bytes that follow a lead.
@@ -222,15 +233,21 @@ class _Packed(dict):
         return packed
 
 
-_machines: dict[str, tuple[_Packed, StreamDecoder]] = {}
+_encoders: dict[str, _Packed] = {}
+_decoders: dict[str, StreamDecoder] = {}
 
 
-def _machine(path: str) -> tuple[_Packed, StreamDecoder]:
-    """This worker's transducer and decoder of a vocabulary."""
-    if path not in _machines:
-        transducer = Transducer(read_ranks(path))
-        _machines[path] = _Packed(transducer), StreamDecoder(transducer.bytes_of)
-    return _machines[path]
+def _encoder(path: str) -> _Packed:
+    """This worker's transducer of a vocabulary, with its cache."""
+    if path not in _encoders:
+        _encoders[path] = _Packed(Transducer(read_ranks(path)))
+    return _encoders[path]
+
+
+def _decoder(path: str) -> StreamDecoder:
+    if path not in _decoders:
+        _decoders[path] = StreamDecoder({rank: token for token, rank in read_ranks(path).items()})
+    return _decoders[path]
 
 
 def _with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
@@ -247,7 +264,7 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     rows = docs.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed, _ = _machine(path)
+        packed = _encoder(path)
         cut = regex.compile(pattern).finditer
         for batch in batches:
             ids = [
@@ -266,7 +283,7 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     rows = encoded.select("doc_id", "ids")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        _, decoder = _machine(path)
+        decoder = _decoder(path)
         for batch in batches:
             texts = [
                 decoder.decode(np.frombuffer(ids, "<u4").tolist()) if ids else ""
