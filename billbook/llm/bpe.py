@@ -254,14 +254,16 @@ def _with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
     return T.StructType([*df.schema.fields, T.StructField(name, kind)])
 
 
-def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """(doc_id, ids) for every row of docs (doc_id, text), without special tokens.
+def encode(docs: DataFrame, path: str, pattern: str, keep: bool = False) -> DataFrame:
+    """(doc_id, ids) for every row of docs (doc_id, text), without special tokens; `keep` keeps text too.
 
     `path` is a rank file that every executor can open; `ids` are bytes, four per token, little-endian.
     NULL and empty texts have no ids. Rows with NULL or repeated doc_ids are kept as they are; other
     columns are left out. A text is handled piece by piece, whatever its length.
     """
     rows = docs.select("doc_id", "text")
+    own = rows if keep else rows.select("doc_id")
+    n, names = len(own.columns), [*own.columns, "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         packed = _encoder(path)
@@ -272,25 +274,28 @@ def encode(docs: DataFrame, path: str, pattern: str) -> DataFrame:
                 for text in map(pa.StringScalar.as_py, batch.column("text"))
             ]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(ids, pa.binary())], ["doc_id", "ids"]
+                [*batch.columns[:n], pa.array(ids, pa.binary())], names
             )
 
-    return rows.mapInArrow(run, _with_field(rows.select("doc_id"), "ids", T.BinaryType()))
+    return rows.mapInArrow(run, _with_field(own, "ids", T.BinaryType()))
 
 
-def decode(encoded: DataFrame, path: str) -> DataFrame:
-    """(doc_id, ids, text) for every row (doc_id, ids) as `encode` gives them; NULL ids are none."""
-    rows = encoded.select("doc_id", "ids")
+def decode(encoded: DataFrame, path: str, keep: bool = False) -> DataFrame:
+    """(doc_id, ids, decoded) for every row (doc_id, ids) as `encode` gives them; NULL ids are none.
+
+    `keep` keeps text too.
+    """
+    rows = encoded.select("doc_id", "ids", *(["text"] if keep else []))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decoder = _decoder(path)
         for batch in batches:
             texts = [
                 decoder.decode(np.frombuffer(ids, "<u4").tolist()) if ids else ""
-                for ids in batch.column("ids").to_pylist()
+                for ids in map(pa.BinaryScalar.as_py, batch.column("ids"))
             ]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "text"]
+                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
             )
 
-    return rows.mapInArrow(run, _with_field(rows, "text", T.StringType()))
+    return rows.mapInArrow(run, _with_field(rows, "decoded", T.StringType()))

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import bpe, chat, decontaminate, langid, lm, repeats, simhash, token_counts, url_filter
+from billbook.llm import ann, bpe, chat, decontaminate, langid, lm, repeats, simhash, token_counts, url_filter
 from billbook.llm.common import table
 from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_URL_FILTER
 
@@ -80,6 +80,11 @@ def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "host", at("fetched_at"), "action", "matched_key", at("listed_since"))
 
 
+def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return ann.search(vectors, vectors.where("vec_id % 20 = 0"), 20)
+
+
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
@@ -87,7 +92,7 @@ def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2(F.col("text").cast("binary"), 256).alias("decoded_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
     )
 
 
@@ -134,6 +139,7 @@ QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_decontamination": op2_decontamination,
     "op3_url_filter": op3_url_filter,
+    "op4_nearest_neighbours": op4_nearest_neighbours,
     "op5_byte_level_bpe": op5_byte_level_bpe,
     "op6_token_counts": op6_token_counts,
     "op7_suffix_array": op7_suffix_array,

@@ -279,6 +279,27 @@ def deduplicate(
     return _cut(chunks.join(repeated, "chunk", "left").join(windows, "chunk", "left"), length, shards)
 
 
+def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
+    """docs with what `deduplicate` keeps as their text; a character that was cut into is left out whole.
+
+    All rows stay, also those with nothing left. A NULL text becomes empty.
+    """
+    done = deduplicate(docs, length, **sizes).drop("n_bytes", "spans")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]
+            names = ["text" if n == "kept" else n for n in batch.schema.names]
+            columns = [
+                pa.array(texts, pa.string()) if n == "kept" else c
+                for n, c in zip(batch.schema.names, batch.columns, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = T.StructType([*(f for f in done.schema if f.name != "kept"), T.StructField("text", T.StringType())])
+    return done.mapInArrow(run, schema)
+
+
 def _cut(asked: DataFrame, length: int, shards: int) -> DataFrame:
     span = T.StructType([T.StructField("first", T.LongType()), T.StructField("length", T.LongType())])
     schema = T.StructType(
