@@ -3,7 +3,7 @@
 A pseudo-rotation flips signs at random and applies a fast Hadamard transform, three times
 over. A rotated unit vector hashes to the signed axis nearest to it, the coordinate of
 largest magnitude. Each of `tables` tables has a rotation of its own; a query probes in each
-the `probes` axes nearest to it, and everything in those buckets is scored exactly on the
+the axes nearest to it, and everything in those buckets is scored exactly on the
 original vectors.
 
 Nearness is the inner product. If lengths differ, vectors get one coordinate more, which
@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -30,10 +31,13 @@ from billbook.llm.common import written
 
 @dataclass(frozen=True)
 class CrossPolytope:
-    """Parameters of the index; the defaults find over 0.9 of the 20 nearest of random unit vectors in 64 dimensions."""
+    """Parameters of the index; the defaults find over 0.9 of the 20 nearest of random vectors in 64 dimensions.
+
+    `probes` is the share of the signed axes that a query probes in each table, one axis at least.
+    """
 
     tables: int = 12
-    probes: int = 12
+    probes: float = 0.1
     seed: int = 5
     members_per_block: int = 8_192
     queries_per_block: int = 2_048
@@ -128,8 +132,8 @@ def search(
     short = asked.join(got.where(F.col("n") >= enough), F.col("vec_id") == F.col("query_id"), "leftanti")
     if enough < 1 or short.isEmpty():
         return ranked
-    one_table = CrossPolytope(1, 1, index.seed, index.members_per_block, index.queries_per_block)
-    everything = _ranked(_searched(members, short, k, one_table, space, None), k)
+    one_table = CrossPolytope(1, 1.0, index.seed, index.members_per_block, index.queries_per_block)
+    everything = _ranked(_searched(members, short, k, one_table, space, 1.0), k)
     return ranked.join(short, F.col("query_id") == short["vec_id"], "leftanti").unionByName(everything)
 
 
@@ -146,9 +150,9 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def _placed(
-    df: DataFrame, own: list[str], index: CrossPolytope, space: tuple[float, bool], probes: int | None, query: bool
+    df: DataFrame, own: list[str], index: CrossPolytope, space: tuple[float, bool], probes: float, query: bool
 ) -> DataFrame:
-    """Each row once per table and probed bucket: (bucket, *own, v); without `probes` in every bucket."""
+    """Each row once per table and probed bucket: (bucket, *own, v)."""
     rows = df.select(*own, "v")
     longest, equal = space
 
@@ -159,7 +163,7 @@ def _placed(
                 units = _hashed_rows(_matrix(part.column("v")), longest, equal, query)
                 wide = 2 * units.shape[1]
                 for table in range(index.tables):
-                    axes = nearest_axes(rotated(units, table, index.seed), probes or wide)
+                    axes = nearest_axes(rotated(units, table, index.seed), max(1, ceil(probes * wide)))
                     taken = pa.array(np.repeat(np.arange(len(axes)), axes.shape[1]))
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(axes.ravel() + table * wide, pa.int64()), *(c.take(taken) for c in part.columns)],
@@ -171,10 +175,10 @@ def _placed(
 
 
 def _searched(
-    members: DataFrame, asked: DataFrame, k: int, index: CrossPolytope, space: tuple[float, bool], probes: int | None
+    members: DataFrame, asked: DataFrame, k: int, index: CrossPolytope, space: tuple[float, bool], probes: float
 ) -> DataFrame:
     """(query_id, ids, scores): each query's best in every block of its buckets."""
-    placed = written(_placed(members, ["ids"], index, space, 1, False), "placed")
+    placed = written(_placed(members, ["ids"], index, space, 0.0, False), "placed")
     probing = _placed(asked.withColumnRenamed("vec_id", "query_id"), ["query_id"], index, space, probes, True)
     probing = written(probing, "probing")
     # One row per bucket, and there are two per table and axis, whatever the data's size.

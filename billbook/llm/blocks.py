@@ -36,6 +36,8 @@ def smallest(counts: np.ndarray) -> np.ndarray:
 
 def by_shard(shard: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """Shards with the places of their entries, in order."""
+    if not len(shard):
+        return
     order = np.argsort(shard, kind="stable")
     numbers, first = np.unique(shard[order], return_index=True)
     yield from zip(numbers.tolist(), np.split(order, first[1:]), strict=True)
