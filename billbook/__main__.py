@@ -12,7 +12,7 @@ from datetime import datetime
 from billbook.config import AS_WRITTEN, INTENDED, Zones
 from billbook.plans.jobs import book_job, extract_job, load_job
 from billbook.plans.spec import BookSpec
-from billbook.schema import INGESTION
+from billbook.schema import INGESTION, INVOICE_KEYS
 from billbook.session import build_session
 from billbook.sources.database import jdbc_table
 from billbook.sources.lake import register_zones
@@ -21,6 +21,10 @@ from billbook.sources.lake import register_zones
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="billbook")
     top.add_argument("--root", required=True, help="URI of the lake")
+    top.add_argument(
+        "--shuffle-partitions", type=int, default=2_000,
+        help="partitions a shuffle starts with; adaptive execution joins small ones",
+    )
     top.add_argument("--run-ts", default=datetime.now().strftime("%Y%m%d%H%M%S"))
     jobs = top.add_subparsers(dest="job", required=True)
 
@@ -37,23 +41,32 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("table", choices=sorted(INGESTION))
     load.add_argument("--snapshot-ts", help="run to load; the newest if left out")
     load.add_argument("--write-mode", choices=("append", "overwrite"), default="append")
+    load.add_argument("--control-table", help="audit table; after the raw table if left out")
     load.add_argument("--control-format", choices=("parquet", "csv"), default="parquet")
     load.add_argument("--mode", choices=(INTENDED, AS_WRITTEN), default=INTENDED)
 
     book = jobs.add_parser("book", help="raw zone to stage and book")
     book.add_argument("--ref-date", required=True)
     book.add_argument("--documented", action="store_true")
+    book.add_argument("--by-payment", action="store_true", help="keep all payments of an invoice, not its latest")
     book.add_argument("--mode", choices=(INTENDED, AS_WRITTEN), default=INTENDED)
 
     sql = jobs.add_parser("sql", help="run a statement over the lake's tables")
     sql.add_argument("statement")
     sql.add_argument("--database", default="lake")
+    sql.add_argument("--output", help="URI that gets the whole result")
+    sql.add_argument("--output-format", choices=("parquet", "csv"), default="parquet")
+    sql.add_argument("--show", type=int, metavar="N", help="print the first N rows as a preview")
     return top
 
 
 def main(argv: list[str] | None = None) -> None:
     args = parser().parse_args(argv)
-    spark = build_session()
+    if args.job == "sql" and args.output is None and args.show is None:
+        parser().error("sql needs --output for the whole result, or --show for a preview")
+    spark = build_session(**{
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(args.shuffle_partitions),
+    })
     zones = Zones(args.root)
     if args.job == "extract":
         source = jdbc_table(
@@ -65,16 +78,22 @@ def main(argv: list[str] | None = None) -> None:
     elif args.job == "load":
         rows = load_job(
             spark, zones, args.table, args.run_ts, args.snapshot_ts, args.mode,
-            args.write_mode, args.control_format,
+            args.write_mode, args.control_format, args.control_table,
         )
         print(f"{args.table}: {rows} rows")
     elif args.job == "book":
         spec = BookSpec().documented() if args.documented else BookSpec()
-        book_job(spark, zones, args.ref_date, args.run_ts, spec, args.mode)
+        keys = (*INVOICE_KEYS, "id_pagamento") if args.by_payment else INVOICE_KEYS
+        book_job(spark, zones, args.ref_date, args.run_ts, spec, args.mode, payment_keys=keys)
     else:
         register_zones(spark, zones, args.database)
         spark.sql(f"USE {args.database}")
-        spark.sql(args.statement).show(truncate=False)
+        result = spark.sql(args.statement)
+        if args.output:
+            result.write.format(args.output_format).option("header", "true").save(args.output)
+        if args.show is not None:
+            print(f"preview, {args.show} rows at most:")
+            result.show(args.show, truncate=False)
 
 
 if __name__ == "__main__":

@@ -46,6 +46,9 @@ class Zones:
     def raw(self, table: str) -> str:
         return f"{self.root}/01_raw/{table}"
 
+    def rejects(self, table: str) -> str:
+        return f"{self.root}/01_raw/rejeitados_{table}"
+
     def curated(self, table: str) -> str:
         return f"{self.root}/02_curated/{table}"
 

@@ -36,5 +36,6 @@ def number_after_hyphen(text: Column) -> Column:
 
 
 def month_of(text: Column) -> Column:
-    """`yyyyMM` cut from an ISO date in text."""
-    return F.substring(without_hyphens(text), 1, 6)
+    """`yyyyMM` cut from an ISO date in text, as int; NULL if that is no month."""
+    digits = F.substring(without_hyphens(text), 1, 6)
+    return F.when(digits.rlike(r"^\d{4}(0[1-9]|1[0-2])$"), digits.try_cast("int"))

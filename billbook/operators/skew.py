@@ -1,23 +1,23 @@
 """Keys too frequent for one task: finding them, and spreading their rows.
 
-Results never depend on what is found here. A key that is not reported goes the
-ordinary way; a reported one is split over several salts on the side where it is
-frequent and copied to the same salts on the other side.
+The rows of a join are the same whatever is found here. A key that is frequent on one
+side is split over several cells there and copied to the same cells on the other side; a
+key that is frequent on both is split on both, into a grid of cells in which every pair of
+rows meets once.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
-from math import ceil
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from billbook.operators.dedup import VERSION_TYPE, version_number
 from billbook.operators.standardize import has_keys
 from billbook.schema import INVOICE_KEYS, VERSION_ORDER
+from billbook.session import scratch_dir
 
 SALT = "_salt"
 COPIED = "_copied"
@@ -25,132 +25,88 @@ COPIED = "_copied"
 # About 1 GB of payment rows.
 ROWS_PER_TASK = 10_000_000
 
-# Size of one frequent-items sketch: finds every key above roughly 0.02 % of
-# the rows, in at most a few hundred kB per scan task.
-TRACKED = 10_000
-MAX_HOT = 1_000
-TASK_GROUPS = 1_024
-
-
-@dataclass(frozen=True)
-class HotKey:
-    key: tuple
-    rows: int
-    latest: object  # greatest version number of this key
-
-    def splits(self, rows_per_task: int) -> int:
-        return ceil(self.rows / rows_per_task)
-
-
-def frequent_hashes(
-    df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK
-) -> list[int]:
-    """`xxhash64` of the key values that may have more than `rows_per_task` rows.
-
-    Meant for tables rather than frames still to be computed, because it runs
-    Spark jobs. The first counts the rows, which Parquet answers from its
-    footers: a table within one task's worth has no such key. The second reads
-    the key columns only: scan tasks are put in groups, each group keeps one
-    frequent-items sketch, and what the sketches report is added up per key. No
-    row is shuffled, and the driver gets at most MAX_HOT hashes.
-    """
-    if df.count() <= rows_per_task:
-        return []
-    # Groups in which a key is rare do not report it, hence the halved threshold.
-    found = (
-        df.select(F.xxhash64(*keys).alias("h"))
-        .groupBy((F.spark_partition_id() % TASK_GROUPS).alias("g"))
-        .agg(F.expr(f"approx_top_k(h, {MAX_HOT}, {TRACKED})").alias("top"))
-        .select(F.inline("top"))
-        .groupBy("item")
-        .agg(F.sum("count").alias("n"))
-        .where(F.col("n") > rows_per_task // 2)
-        .orderBy(F.desc("n"))
-        .limit(MAX_HOT)
-    )
-    return [row["item"] for row in found.collect()]
-
 
 def find_hot_keys(
     df: DataFrame,
     keys: Sequence[str] = INVOICE_KEYS,
     order: Sequence[str] = VERSION_ORDER,
     rows_per_task: int = ROWS_PER_TASK,
-) -> list[HotKey]:
-    """Keys with more than `rows_per_task` rows, counted exactly; NULL keys are left out.
+) -> DataFrame:
+    """(*keys, rows, latest): every key with more than `rows_per_task` rows; NULL keys are left out.
 
-    Runs `frequent_hashes`, then counts its candidates if there are any.
+    Counts are exact. The key columns are aggregated before they are shuffled, so a hot key is one row
+    per task. A table of no more rows than that, which Parquet tells from its footers, has no such key.
+    `latest` is the greatest version number of the key.
     """
-    candidates = frequent_hashes(df, keys, rows_per_task)
-    if not candidates:
-        return []
-    exact = (
-        df.where(has_keys(keys) & F.xxhash64(*keys).isin(candidates))
+    if df.count() <= rows_per_task:
+        df = df.limit(0)
+    return (
+        df.where(has_keys(keys))
         .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("n"), F.max(version_number(order)).alias("latest"))
-        .where(F.col("n") > rows_per_task)
+        .agg(F.count(F.lit(1)).alias("rows"), F.max(version_number(order)).alias("latest"))
+        .where(F.col("rows") > rows_per_task)
     )
-    return [HotKey(tuple(r[k] for k in keys), r["n"], r["latest"]) for r in exact.collect()]
+
+
+def plan_cells(
+    left: DataFrame, right: DataFrame | None, keys: Sequence[str], rows_per_task: int
+) -> DataFrame:
+    """(*keys, left_splits, right_splits, left_latest, right_latest) of all hot keys, as a written table."""
+    splits = F.ceil(F.col("rows") / rows_per_task).cast("int")
+    sides = [
+        hot.select(*keys, splits.alias(f"{side}_splits"), F.col("latest").alias(f"{side}_latest"))
+        for side, hot in (("left", left), ("right", left.limit(0) if right is None else right))
+    ]
+    cells = reduce(lambda a, b: a.join(b, list(keys), "full"), sides)
+    path = scratch_dir(cells.sparkSession, "hot")
+    cells.write.parquet(path)
+    return cells.sparkSession.read.schema(cells.schema).parquet(path)
 
 
 def salted(
     df: DataFrame,
-    split: Sequence[HotKey],
-    copy: Sequence[HotKey],
-    rows_per_task: int,
+    cells: DataFrame,
+    side: str,
     keys: Sequence[str] = INVOICE_KEYS,
     order: Sequence[str] = VERSION_ORDER,
     all_versions: bool = False,
+    place_by: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Add `SALT`: spread the `split` keys, repeat the `copy` keys once per salt.
-
-    Rows of a `split` key that are not its latest version are dropped here, on
-    the map side, so that deduplication per (key, salt) is deduplication per
-    key; `all_versions` keeps them. `COPIED` marks the repeated rows. Rows with
-    a NULL key, which an outer join would send to one task although they match
-    nothing, are spread too.
-
-    The broadcast table has one row per `split` key and one per salt of a `copy`
-    key: at most MAX_HOT plus (rows of the table / `rows_per_task`) rows.
+    """Add `SALT`, the cell, and `COPIED`, whether the row stands in several cells.
+
+    `side` is left or right of `plan_cells`. A row of a hot key gets one of its own side's splits and is
+    copied to all of the other side's. Rows that are not the latest version of a key that is hot on
+    this side are dropped here, on the map side, so that deduplication per (key, cell) is deduplication
+    per key; `all_versions` keeps them. Rows with a NULL key, which an outer join would send to one task
+    although they match nothing, are spread too. Equal values of `place_by` share a split, for a later
+    deduplication by further keys.
     """
-    spark = df.sparkSession
-    table_type = T.StructType(
-        [df.schema[k] for k in keys]
-        + [
-            T.StructField("_splits", T.IntegerType()),
-            T.StructField("_copy", T.IntegerType()),
-            T.StructField("_latest", T.DecimalType(20, 0)),
-        ]
-    )
-    latest = {} if all_versions else {h.key: h.latest for h in split}
-    copied = {h.key for h in copy}
-    rows = [
-        (*h.key, h.splits(rows_per_task), None, latest.get(h.key))
-        for h in split
-        if h.key not in copied
-    ]
-    # A key hot on both sides is copied here, but still reduced to its latest version first.
-    rows += [
-        (*h.key, None, salt, latest.get(h.key))
-        for h in copy
-        for salt in range(h.splits(rows_per_task))
-    ]
+    other = {"left": "right", "right": "left"}[side]
     # Differs between rows and, for identical rows, between input tasks; does not
     # depend on the order a task reads in, so a re-run places every row as before.
-    place = F.xxhash64("_task", *df.columns)
-    ways = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordinary = F.when(~has_keys(keys), F.pmod(place, F.lit(ways)).cast("int")).otherwise(0)
+    place = F.xxhash64(*place_by) if place_by else F.xxhash64("_task", *df.columns)
+    ways = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     marked = df.withColumn("_task", F.spark_partition_id())
-    if not rows:
-        return marked.select(*df.columns, F.lit(False).alias(COPIED), ordinary.alias(SALT))
-
-    table = F.broadcast(spark.createDataFrame(rows, table_type))
-    kept = marked.join(table, list(keys), "left").where(
-        F.col("_latest").isNull() | (version_number(order) == F.col("_latest").cast(VERSION_TYPE))
-    )
-    salt = (
-        F.when(F.col("_copy").isNotNull(), F.col("_copy"))
-        .when(F.col("_splits").isNotNull(), F.pmod(place, "_splits").cast("int"))
-        .otherwise(ordinary)
+    # No broadcast is asked for: Spark decides by size, and splits hot keys of a shuffled join itself.
+    found = marked.join(cells, list(keys), "left")
+    if not all_versions:
+        latest = F.col(f"{side}_latest").cast(VERSION_TYPE)
+        found = found.where(latest.isNull() | (version_number(order) == latest))
+    own, others = F.coalesce(f"{side}_splits", F.lit(1)), F.coalesce(f"{other}_splits", F.lit(1))
+    split = F.pmod(place, own).cast("int")
+    cell = _cell(side, split, own, others)
+    hot = F.coalesce(f"{side}_splits", f"{other}_splits").isNotNull()
+    ordinary = F.when(~has_keys(keys), F.pmod(place, F.lit(ways)).cast("int")).otherwise(0)
+    return found.select(
+        *df.columns,
+        (others > 1).alias(COPIED),
+        F.explode(F.when(hot, cell).otherwise(F.array(ordinary))).alias(SALT),
     )
-    return kept.select(*df.columns, F.col("_copy").isNotNull().alias(COPIED), salt.alias(SALT))
+
+
+def _cell(side: str, split: Column, own: Column, others: Column) -> Column:
+    """All cells of a row: left splits are the rows of the grid, right splits its columns."""
+    every = F.sequence(F.lit(0), others - 1)
+    if side == "left":
+        return F.transform(every, lambda x: split * others + x)
+    return F.transform(every, lambda x: x * own + split)

@@ -17,7 +17,12 @@ MINUTES_PATTERN = "yyyy-mm-dd"
 SHORT_ID = (3, 2)
 
 
-def standardize_invoices(df: DataFrame, run_ts: str, mode: str = INTENDED) -> DataFrame:
+def _run(run_ts: str | Column) -> Column:
+    return F.lit(check_run_ts(run_ts)) if isinstance(run_ts, str) else run_ts
+
+
+def standardize_invoices(df: DataFrame, run_ts: str | Column, mode: str = INTENDED) -> DataFrame:
+    """`run_ts` is one timestamp for all rows, or a column with each row's."""
     literal = check_mode(mode) == AS_WRITTEN
     pattern = MINUTES_PATTERN if literal else text.ISO_DATE
     invoice = F.col("id_fatura")
@@ -28,7 +33,7 @@ def standardize_invoices(df: DataFrame, run_ts: str, mode: str = INTENDED) -> Da
             else text.number_after_hyphen(invoice)
         ).alias("id_fatura"),
         text.integer(F.col("id_cliente")).alias("id_cliente"),
-        F.lit(check_run_ts(run_ts)).alias("dt_proc"),
+        _run(run_ts).alias("dt_proc"),
         text.month_of(F.col("data_emissao")).alias("ref"),
         text.day(F.col("data_emissao"), pattern).alias("data_emissao"),
         text.day(F.col("data_vencimento"), pattern).alias("data_vencimento"),
@@ -37,14 +42,14 @@ def standardize_invoices(df: DataFrame, run_ts: str, mode: str = INTENDED) -> Da
     )
 
 
-def standardize_payments(df: DataFrame, run_ts: str, mode: str = INTENDED) -> DataFrame:
+def standardize_payments(df: DataFrame, run_ts: str | Column, mode: str = INTENDED) -> DataFrame:
     """The same in both modes; `mode` is accepted so that callers can pass one setting."""
     check_mode(mode)
     return df.select(
         text.without_hyphens(F.col("id_pagamento")).alias("id_pagamento"),
         text.number_after_hyphen(F.col("id_fatura")).alias("id_fatura"),
         text.integer(F.col("id_cliente")).alias("id_cliente"),
-        F.lit(check_run_ts(run_ts)).alias("dt_proc"),
+        _run(run_ts).alias("dt_proc"),
         text.month_of(F.col("data_pagamento")).alias("ref"),
         text.day(F.col("data_pagamento")).alias("data_pagamento"),
         text.money(F.col("valor_pagamento")).alias("valor_pagamento"),
@@ -62,5 +67,6 @@ def has_keys(keys: Sequence[str]) -> Column:
 
 
 def rejects(df: DataFrame, keys: Sequence[str] = INVOICE_KEYS) -> DataFrame:
-    """Rows that cannot be matched to an invoice because a key is NULL."""
-    return df.where(~has_keys(keys))
+    """Rows that no book can use, with the reason in `motivo`: a key is NULL, or the month is."""
+    reason = F.when(~has_keys(keys), "sem chave").when(F.col("ref").isNull(), "sem mes")
+    return df.withColumn("motivo", reason).where(F.col("motivo").isNotNull())

@@ -3,84 +3,55 @@
 Windows are cumulative and a row has one class per class column, so a variable is
 an aggregate over one *cell* (class, window). The plan is:
 
-1. Shuffle narrow stage rows by customer; every later step stays in that layout.
-2. Repeat each row into the cells that contain it and aggregate per cell. A row
-   carries the number of its *band*, the shortest window holding it; its cells
-   are that window and the longer ones.
-3. Per customer, collect its cells (35 at most) in a map and read each variable
+1. Aggregate by customer, classes and *band*, the shortest window holding a row.
+   Partial aggregation runs before the shuffle, so of a customer of any size at
+   most 180 rows per task travel, and 180 in all go on.
+2. Shuffle these by customer; every later step stays in that layout.
+3. Repeat each row into the cells that contain it, its own window and the longer
+   ones, and aggregate per cell.
+4. Per customer, collect its cells (35 at most) in a map and read each variable
    from it.
-
-Rows are repeated after the shuffle, so what travels is one narrow row per
-invoice and payment. Customers with more rows than a task should get are looked
-for first; theirs are combined per (classes, band) before they travel, which
-leaves at most 180 rows of any customer.
 """
 
 from __future__ import annotations
 
 from datetime import date
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billbook.functions.calendar import window_band, window_flags
-from billbook.operators.skew import ROWS_PER_TASK, frequent_hashes
 from billbook.plans.spec import CATALOG_COLUMNS, BookSpec, Variable, expand
+from billbook.schema import STAGE
 
 CELL = "_cell"
 BAND = "_band"
 
 
-def feature_book(
-    stage: DataFrame,
-    spec: BookSpec,
-    ref_date: date | str,
-    rows_per_task: int | None = ROWS_PER_TASK,
-) -> DataFrame:
-    """One row per customer, one column per variable; an empty cell is NULL.
-
-    `stage` should be a written table: with a `rows_per_task` it is scanned once
-    for customers above it, reading their keys only.
-    """
+def feature_book(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
+    """One row per customer, one column per variable; an empty cell is NULL."""
     numbers = _cell_numbers(spec)
     # As text: building hundreds of Column objects one by one takes seconds on the driver.
     columns = [f"`{k}`" for k in spec.group_keys] + [
         f"_cells[{numbers[v.class_column, v.class_value, v.months]}].`{_slot(v)}` as {v.name}"
         for v in expand(spec)
     ]
-
-    def wide(cells: DataFrame) -> DataFrame:
-        values = F.struct(*[c for c in cells.columns if c not in (*spec.group_keys, CELL)])
-        cell_map = F.map_from_entries(
-            F.collect_list(F.when(F.col(CELL).isNotNull(), F.struct(F.col(CELL), values)))
-        )
-        return cells.groupBy(*spec.group_keys).agg(cell_map.alias("_cells")).selectExpr(*columns)
-
-    parts = _split_by_size(stage, spec, rows_per_task)
-    return reduce(
-        DataFrame.unionByName,
-        [wide(book_cells(rows, spec, ref_date, combine_first)) for rows, combine_first in parts],
+    cells = book_cells(stage, spec, ref_date)
+    values = F.struct(*[c for c in cells.columns if c not in (*spec.group_keys, CELL)])
+    cell_map = F.map_from_entries(
+        F.collect_list(F.when(F.col(CELL).isNotNull(), F.struct(F.col(CELL), values)))
     )
+    return cells.groupBy(*spec.group_keys).agg(cell_map.alias("_cells")).selectExpr(*columns)
 
 
-def feature_book_long(
-    stage: DataFrame,
-    spec: BookSpec,
-    ref_date: date | str,
-    rows_per_task: int | None = ROWS_PER_TASK,
-) -> DataFrame:
+def feature_book_long(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
     """One row per customer and variable that has a value, as double.
 
     Skips the last step of the wide book. Doubles lose cents above 2**53; the
     wide book keeps exact types.
     """
-    parts = _split_by_size(stage, spec, rows_per_task)
-    cells = reduce(
-        DataFrame.unionByName,
-        [book_cells(rows, spec, ref_date, combine_first) for rows, combine_first in parts],
-    ).where(F.col(CELL).isNotNull())
+    cells = book_cells(stage, spec, ref_date).where(F.col(CELL).isNotNull())
     slots = [c for c in cells.columns if c not in (*spec.group_keys, CELL)]
     melted = cells.select(
         *spec.group_keys,
@@ -120,47 +91,25 @@ def feature_book_direct(stage: DataFrame, spec: BookSpec, ref_date: date | str)
     ])
 
 
-def book_cells(
-    stage: DataFrame, spec: BookSpec, ref_date: date | str, combine_first: bool = True
-) -> DataFrame:
+def book_cells(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
     """One row per customer and cell with a column per (measure, aggregate).
 
     Rows outside every cell leave their customer with a row whose cell is NULL.
-    `combine_first` aggregates by class and band ahead of the shuffle by
-    customer: safe for customers of any size, one more shuffle for the others.
     """
     codes = [f"_class{i}" for i in range(len(spec.classes))]
-    rows, aggregates = _banded(stage, spec, ref_date, codes), _partials(spec)
-    if combine_first:
-        rows = rows.groupBy(*spec.group_keys, *codes, BAND).agg(*aggregates)
-        aggregates = _merged(spec)
+    banded = _banded(stage, spec, ref_date, codes)
+    rows = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*_partials(spec))
     values = [c for c in rows.columns if c not in (*spec.group_keys, *codes, BAND)]
     per_cell = (
         rows.repartition(*[F.col(k) for k in spec.group_keys])
         .select(*spec.group_keys, F.explode_outer(_cells_of(spec, codes)).alias(CELL), *values)
         .groupBy(*spec.group_keys, CELL)
-        .agg(*aggregates)
+        .agg(*_merged(spec))
     )
     types = {m: stage.schema[m].dataType for m, _ in spec.measures}
     return per_cell.select(*spec.group_keys, CELL, *_finished(spec, types))
 
 
-def _split_by_size(
-    stage: DataFrame, spec: BookSpec, rows_per_task: int | None
-) -> list[tuple[DataFrame, bool]]:
-    """Disjoint parts of `stage`, whole customers each, with whether to combine first.
-
-    Hash collisions only send a small customer along with the large ones.
-    """
-    if rows_per_task is None:
-        return [(stage, True)]
-    large = frequent_hashes(stage, spec.group_keys, rows_per_task)
-    if not large:
-        return [(stage, False)]
-    is_large = F.xxhash64(*spec.group_keys).isin(large)
-    return [(stage.where(~is_large), False), (stage.where(is_large), True)]
-
-
 def _banded(stage: DataFrame, spec: BookSpec, ref_date: date | str, codes: list[str]) -> DataFrame:
     """Classes as small numbers, NULL when the row has no class of the spec or no window."""
     band = window_band(
@@ -197,6 +146,13 @@ def _cell_numbers(spec: BookSpec) -> dict[tuple[str, str, int], int]:
     return {cell: i for i, cell in enumerate(cells)}
 
 
+def book_schema(spec: BookSpec) -> T.StructType:
+    """The columns of a written book, `ref` last."""
+    empty = SparkSession.active().createDataFrame([], STAGE)
+    fields = feature_book(empty, spec, "2000-01-01").schema.fields
+    return T.StructType([f for f in fields if f.name != "ref"] + [STAGE["ref"]])
+
+
 def _slot(v: Variable) -> str:
     return f"{v.measure}_{v.aggregate}"
 

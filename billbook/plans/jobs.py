@@ -2,22 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from billbook.config import AS_WRITTEN, INTENDED, Zones, as_date
 from billbook.operators.skew import ROWS_PER_TASK
-from billbook.operators.standardize import STANDARDIZE
+from billbook.operators.standardize import STANDARDIZE, rejects
 from billbook.plans.book import feature_book
 from billbook.plans.spec import BookSpec
 from billbook.plans.stage import build_stage
-from billbook.schema import RAW_NAME
+from billbook.schema import INVOICE_KEYS, RAW_NAME
 from billbook.sinks.lake import (
-    control_row, replace_months, write_control, write_months, write_raw,
+    control_row, write_control, write_month, write_months, write_raw, write_run,
 )
 from billbook.sources.ingestion import extract_snapshot, read_ingestion
-from billbook.sources.lake import read_look_back, read_stage
+from billbook.sources.lake import read_look_back, read_raw, read_stage
 
 
 def extract_job(source: DataFrame, zones: Zones, table: str, run_ts: str) -> str:
@@ -34,12 +36,25 @@ def load_job(
     mode: str = INTENDED,
     write_mode: str = "append",
     control_format: str = "parquet",
+    control_table: str | None = None,
 ) -> int:
-    """Standardise one snapshot into the raw zone and audit it; returns the rows loaded."""
+    """Standardise one snapshot into the raw zone and audit it; returns the rows loaded.
+
+    Repeating a load with its `run_ts` replaces what it had loaded. Rows without
+    a key or month stay in the raw table, and stand with the reason in the
+    rejects beside it. `control_table` names the audit table, by default after
+    the raw table.
+    """
     name = RAW_NAME[table]
     typed = STANDARDIZE[table](read_ingestion(spark, zones, table, snapshot_ts), run_ts, mode)
-    rows = write_raw(typed, zones.raw(name), write_mode)
-    write_control(control_row(spark, name, run_ts, rows), zones.control(name), control_format)
+    if write_mode == "overwrite":
+        rows = write_raw(typed, zones.raw(name), "overwrite")
+    else:
+        rows = write_run(typed, zones.raw(name), run_ts)
+    loaded = read_raw(spark, zones, name).where(F.col("dt_proc") == run_ts)
+    rejected = write_run(rejects(loaded), zones.rejects(name), run_ts)
+    audit = control_row(spark, name, run_ts, rows, rejected)
+    write_control(audit, zones.control(control_table or name), control_format)
     return rows
 
 
@@ -51,26 +66,28 @@ def book_job(
     spec: BookSpec = BookSpec(),
     mode: str = INTENDED,
     rows_per_task: int | None = ROWS_PER_TASK,
+    payment_keys: Sequence[str] = INVOICE_KEYS,
 ) -> None:
     """Stage and book of one reference month, replacing that month in both.
 
     `as_written` replaces the whole stage and appends to the book instead. The
     book reads the stage back from its files, so deduplication and join run
-    once, and a book that fails can be repeated without them.
+    once, and a book that fails can be repeated without them. `payment_keys`
+    are those of `latest_joined`.
     """
-    months = max(spec.windows)
+    months, month = max(spec.windows), f"{as_date(ref_date):%Y%m}"
     invoices = read_look_back(spark, zones, "faturas", ref_date, months)
     payments = read_look_back(spark, zones, "pagamentos", ref_date, months)
-    stage = build_stage(invoices, payments, ref_date, run_ts, mode, rows_per_task)
+    stage = build_stage(invoices, payments, ref_date, run_ts, mode, rows_per_task, payment_keys)
     literal = mode == AS_WRITTEN
     if literal:
         write_months(stage, zones.curated("stage"), "overwrite")
     else:
-        replace_months(stage, zones.curated("stage"))
+        write_month(stage, zones.curated("stage"), month)
 
-    written = read_stage(spark, zones, f"{as_date(ref_date):%Y%m}")
-    book = feature_book(written, spec, ref_date, rows_per_task)
+    written = read_stage(spark, zones, month, run_ts)
+    book = feature_book(written, spec, ref_date)
     if literal:
         write_months(book, zones.curated("book"), "append")
     else:
-        replace_months(book, zones.curated("book"))
+        write_month(book, zones.curated("book"), month)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -23,12 +24,14 @@ def latest_versions(
     df: DataFrame, mode: str = INTENDED, rows_per_task: int | None = skew.ROWS_PER_TASK
 ) -> DataFrame:
     """`dedup_latest` of one table, salting keys whose latest rows would overload a task."""
-    hot = []
-    if check_mode(mode) == INTENDED and rows_per_task is not None:
-        hot = skew.find_hot_keys(df, rows_per_task=rows_per_task)
-    if not hot:
+    if check_mode(mode) == AS_WRITTEN or rows_per_task is None:
         return dedup_latest(df, mode=mode)
-    spread = skew.salted(df, hot, [], rows_per_task)
+    cells = skew.plan_cells(
+        skew.find_hot_keys(df, rows_per_task=rows_per_task), None, INVOICE_KEYS, rows_per_task
+    )
+    if cells.isEmpty():
+        return dedup_latest(df)
+    spread = skew.salted(df, cells, "left")
     return dedup_latest(spread, (*INVOICE_KEYS, skew.SALT)).drop(skew.SALT, skew.COPIED)
 
 
@@ -37,35 +40,50 @@ def latest_joined(
     payments: DataFrame,
     mode: str = INTENDED,
     rows_per_task: int | None = skew.ROWS_PER_TASK,
+    payment_keys: Sequence[str] = INVOICE_KEYS,
 ) -> DataFrame:
     """Deduplicate both tables and join them.
 
     Two shuffles in all: each table is shuffled once for its deduplication and
     the join reuses both layouts. Keys with more than `rows_per_task` rows are
-    looked for first (see `skew.frequent_hashes`) and salted through the same
-    plan if there are any; None skips the search.
+    counted first and salted through the same plan if there are any; None skips
+    the search.
+
+    `payment_keys` tell payments apart. By default a later payment of an invoice
+    replaces an earlier one; with `id_pagamento` among the keys only versions of
+    the same payment do, and instalments stay. They include the invoice's keys.
     """
-    hot_invoices, hot_payments = [], []
+    if not set(INVOICE_KEYS) <= set(payment_keys):
+        raise ValueError(f"payment_keys must include {INVOICE_KEYS}")
+    by_payment = set(payment_keys) != set(INVOICE_KEYS)
+    cells = None
     if rows_per_task is not None:
-        hot_invoices = skew.find_hot_keys(invoices, rows_per_task=rows_per_task)
-        hot_payments = skew.find_hot_keys(payments, rows_per_task=rows_per_task)
-    if check_mode(mode) == INTENDED and not hot_invoices and not hot_payments:
-        return join_payments(dedup_latest(invoices), dedup_latest(payments))
-
-    # A key hot on both sides is split on the payment side.
-    split_payments = {h.key for h in hot_payments}
-    invoices_only = [h for h in hot_invoices if h.key not in split_payments]
-    every = mode == AS_WRITTEN
+        hot = [skew.find_hot_keys(t, rows_per_task=rows_per_task) for t in (invoices, payments)]
+        cells = skew.plan_cells(*hot, INVOICE_KEYS, rows_per_task)
+    every = check_mode(mode) == AS_WRITTEN
+    if not every and (cells is None or cells.isEmpty()):
+        if by_payment:
+            # Laid out by invoice, which serves the finer keys and then the join.
+            payments = payments.repartition(*[F.col(k) for k in INVOICE_KEYS])
+        return join_payments(dedup_latest(invoices), dedup_latest(payments, payment_keys))
+
     if every:
         # All versions of both sides; the all-NULL rows of the payments match no invoice.
         invoices = dedup_latest(invoices, mode=mode)
         payments = payments.where(has_keys(INVOICE_KEYS))
-    size = rows_per_task or skew.ROWS_PER_TASK
-    left = skew.salted(invoices, hot_invoices, hot_payments, size, all_versions=every)
-    right = skew.salted(payments, hot_payments, invoices_only, size, all_versions=every)
+    if cells is None:
+        none = [skew.find_hot_keys(t.limit(0)) for t in (invoices, payments)]
+        cells = skew.plan_cells(*none, INVOICE_KEYS, skew.ROWS_PER_TASK)
+    left = skew.salted(invoices, cells, "left", all_versions=every)
+    right = skew.salted(
+        payments, cells, "right", all_versions=every or by_payment,
+        place_by=payment_keys if by_payment else None,
+    )
     if not every:
-        keys = (*INVOICE_KEYS, skew.SALT)
-        left, right = dedup_latest(left, keys), dedup_latest(right, keys)
+        left = dedup_latest(left, (*INVOICE_KEYS, skew.SALT))
+        if by_payment:
+            right = right.repartition(*[F.col(k) for k in (*INVOICE_KEYS, skew.SALT)])
+        right = dedup_latest(right, (*payment_keys, skew.SALT))
     return join_payments_salted(left, right)
 
 
@@ -87,7 +105,7 @@ def stage_columns(variables: DataFrame, ref_date: date | str, run_ts: str) -> Da
     """Project to the stage schema. `ref` is the month of the reference date."""
     return variables.select(
         "id_cliente",
-        F.lit(f"{as_date(ref_date):%Y%m}").alias("ref"),
+        F.lit(int(f"{as_date(ref_date):%Y%m}")).alias("ref"),
         F.lit(check_run_ts(run_ts)).alias("dt_proc"),
         TIMING,
         "data_emissao",
@@ -108,7 +126,8 @@ def build_stage(
     run_ts: str,
     mode: str = INTENDED,
     rows_per_task: int | None = skew.ROWS_PER_TASK,
+    payment_keys: Sequence[str] = INVOICE_KEYS,
 ) -> DataFrame:
     """Stage rows from raw invoices and payments already limited to the look-back months."""
-    joined = latest_joined(invoices, payments, mode, rows_per_task)
+    joined = latest_joined(invoices, payments, mode, rows_per_task, payment_keys)
     return stage_columns(payment_variables(joined, ref_date, mode), ref_date, run_ts)

@@ -22,8 +22,7 @@ INGESTION = {
     ),
 }
 
-# Raw zone: Parquet, one directory per month. `ref` is read as text so that a
-# malformed month cannot change the column's type, and turned into int on scan.
+# Raw zone: Parquet, one directory per run and month. A month that is none is NULL.
 RAW = {
     "faturas": T.StructType([
         T.StructField("id_fatura", T.LongType()),
@@ -33,7 +32,7 @@ RAW = {
         T.StructField("data_vencimento", T.DateType()),
         T.StructField("valor_fatura", MONEY),
         T.StructField("valor_pagamento_minimo", MONEY),
-        T.StructField("ref", T.StringType()),
+        T.StructField("ref", T.IntegerType()),
     ]),
     "pagamentos": T.StructType([
         T.StructField("id_pagamento", T.StringType()),
@@ -42,7 +41,7 @@ RAW = {
         T.StructField("dt_proc", T.StringType()),
         T.StructField("data_pagamento", T.DateType()),
         T.StructField("valor_pagamento", MONEY),
-        T.StructField("ref", T.StringType()),
+        T.StructField("ref", T.IntegerType()),
     ]),
 }
 
@@ -58,13 +57,14 @@ STAGE = T.StructType([
     T.StructField("fvl_pct_fatura_pgto", T.FloatType()),
     T.StructField("fvl_numero_dias_atraso", T.IntegerType()),
     T.StructField("fvl_qtd_transacao", T.IntegerType()),
-    T.StructField("ref", T.StringType()),
+    T.StructField("ref", T.IntegerType()),
 ])
 
 CONTROL = T.StructType([
     T.StructField("tb_name", T.StringType()),
     T.StructField("dt_proc", T.StringType()),
     T.StructField("qtd_registros", T.LongType()),
+    T.StructField("qtd_rejeitados", T.LongType()),
 ])
 
 # Which raw table each ingestion table feeds.

@@ -10,29 +10,57 @@ from billbook.schema import CONTROL
 
 
 def write_raw(df: DataFrame, path: str, mode: str = "append") -> int:
-    """Write `df` under one directory per `ref` and return the rows written.
+    """Write `df` under one directory per run and month and return the rows written.
 
-    `append` keeps history; `overwrite` replaces the whole table. Rows are
-    rebalanced by month first, which makes few files per month and, under
-    adaptive execution, splits a month that is too large for one task. The count
-    is taken in the writing tasks: no second scan, and a re-run task counts once.
+    `append` keeps history, and replaces what a run had written to the same
+    months; `overwrite` replaces the whole table. Rows are rebalanced by month
+    first, which makes few files per month and, under adaptive execution, splits
+    a month that is too large for one task. The count is taken in the writing
+    tasks: no second scan, and a re-run task counts once.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be append or overwrite, not {mode!r}")
     counted = Observation()
     (
         df.hint("rebalance", F.col("ref"))
         .observe(counted, F.count(F.lit(1)).alias("rows"))
-        .write.mode(mode)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if mode == "append" else "static")
+        .partitionBy("dt_proc", "ref")
+        .parquet(path)
+    )
+    return counted.get["rows"]
+
+
+def write_run(df: DataFrame, path: str, run_ts: str) -> int:
+    """Make `df` all that run `run_ts` has in a raw table; returns the rows written.
+
+    A run that is repeated replaces its own directory, also where it has fewer
+    months than before, and no other run's.
+    """
+    counted = Observation()
+    (
+        df.drop("dt_proc")
+        .hint("rebalance", F.col("ref"))
+        .observe(counted, F.count(F.lit(1)).alias("rows"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "static")
         .partitionBy("ref")
-        .parquet(path)
+        .parquet(f"{path}/dt_proc={check_run_ts(run_ts)}")
     )
     return counted.get["rows"]
 
 
+def write_month(df: DataFrame, path: str, ref: int | str) -> None:
+    """Make `df` all of one month, also if it is empty. Files are sized by adaptive execution."""
+    df.drop("ref").hint("rebalance").write.mode("overwrite").parquet(f"{path}/ref={int(ref)}")
+
+
 def replace_months(df: DataFrame, path: str) -> None:
-    """Replace exactly the months present in `df`: repeating a run changes nothing."""
+    """Replace exactly the months present in `df`; other months stay. See `write_month` for a known one."""
     (
-        df.write.mode("overwrite")
+        df.hint("rebalance", F.col("ref"))
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("ref")
         .parquet(path)
@@ -42,16 +70,19 @@ def replace_months(df: DataFrame, path: str) -> None:
 def write_months(df: DataFrame, path: str, mode: str) -> None:
     """Plain `append`, or `overwrite` of the whole table, under one directory per `ref`."""
     (
-        df.write.mode(mode)
+        df.hint("rebalance", F.col("ref"))
+        .write.mode(mode)
         .option("partitionOverwriteMode", "static")
         .partitionBy("ref")
         .parquet(path)
     )
 
 
-def control_row(spark: SparkSession, table: str, run_ts: str, rows: int) -> DataFrame:
-    """Audit of one load: table, run, rows."""
-    return spark.createDataFrame([(table, check_run_ts(run_ts), rows)], CONTROL)
+def control_row(
+    spark: SparkSession, table: str, run_ts: str, rows: int, rejected: int = 0
+) -> DataFrame:
+    """Audit of one load: table, run, rows, and how many of them no book can use."""
+    return spark.createDataFrame([(table, check_run_ts(run_ts), rows, rejected)], CONTROL)
 
 
 def write_control(row: DataFrame, path: str, fmt: str = "parquet") -> None:

@@ -17,7 +17,10 @@ def jdbc_table(
 ) -> DataFrame:
     """A whole table read as `partitions` range queries on `partition_column`.
 
-    `lower` and `upper` only set the stride; rows outside them are still read.
+    The queries are separate statements: if the source changes meanwhile they may
+    see different states of it, unlike one statement would. Extract from a
+    replica that stands still, or with `partitions=1`. The column is a number,
+    date or timestamp; Spark refuses text. `lower` and `upper` only set the stride; rows outside them are still read.
     Credentials and driver options go into `options` and come from the caller.
     """
     return (

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from billbook.config import Zones
 from billbook.schema import INGESTION
@@ -33,13 +32,18 @@ def extract_snapshot(df: DataFrame, zones: Zones, table: str, run_ts: str) -> st
 
 
 def newest_run(spark: SparkSession, zones: Zones, table: str) -> str:
-    """Directory of the latest run. Run names sort by time; lists paths, reads no data."""
-    files = spark.read.format("binaryFile").load(f"{zones.ingestion(table)}/*/*.csv")
-    run = files.select(F.regexp_extract("path", r"([^/]+)/[^/]+$", 1).alias("run"))
-    latest = run.agg(F.max("run")).first()[0]
-    if latest is None:
-        raise FileNotFoundError(f"no snapshot under {zones.ingestion(table)}")
-    return f"{zones.ingestion(table)}/{latest}"
+    """Directory of the latest run that was written to its end. Run names sort by time.
+
+    Lists one directory level on the driver; no job is started.
+    """
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    top = hadoop.Path(zones.ingestion(table))
+    files = top.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    runs = [s.getPath().getName() for s in files.listStatus(top) if s.isDirectory()] if files.exists(top) else []
+    for run in sorted(runs, reverse=True):
+        if files.exists(hadoop.Path(f"{zones.ingestion(table)}/{run}/_SUCCESS")):
+            return f"{zones.ingestion(table)}/{run}"
+    raise FileNotFoundError(f"no snapshot under {zones.ingestion(table)}")
 
 
 def read_ingestion(

@@ -7,15 +7,23 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from billbook.config import Zones, month_bounds
+from billbook.plans.book import book_schema
+from billbook.plans.spec import BookSpec
 from billbook.schema import RAW, STAGE
 
 
 def read_raw(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
-    """A raw table with `ref` as int; a month that is not a number reads as NULL."""
-    df = spark.read.schema(RAW[table]).parquet(zones.raw(table))
-    return df.withColumn("ref", F.col("ref").try_cast("int"))
+    """A raw table; run and month come from its directories."""
+    return spark.read.schema(RAW[table]).parquet(zones.raw(table)).select(*RAW[table].names)
+
+
+def read_rejects(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
+    """Rows of a raw table that no book can use, as `load_job` wrote them, with the reason."""
+    schema = T.StructType([*RAW[table], T.StructField("motivo", T.StringType())])
+    return spark.read.schema(schema).parquet(zones.rejects(table)).select(*schema.names)
 
 
 def in_months(df: DataFrame, first: int, last: int) -> DataFrame:
@@ -30,9 +38,12 @@ def read_look_back(
     return in_months(read_raw(spark, zones, table), *month_bounds(ref_date, months))
 
 
-def read_stage(spark: SparkSession, zones: Zones, ref: str) -> DataFrame:
-    """One reference month of the stage."""
-    return spark.read.schema(STAGE).parquet(zones.curated("stage")).where(F.col("ref") == ref)
+def read_stage(
+    spark: SparkSession, zones: Zones, ref: str | int, run_ts: str | None = None
+) -> DataFrame:
+    """One reference month of the stage; with `run_ts` only what that run wrote."""
+    month = spark.read.schema(STAGE).parquet(zones.curated("stage")).where(F.col("ref") == int(ref))
+    return month.where(F.col("dt_proc") == run_ts) if run_ts else month
 
 
 def register_zones(
@@ -40,21 +51,31 @@ def register_zones(
     zones: Zones,
     database: str,
     tables: Sequence[str] = ("faturas", "pagamentos", "stage", "book"),
+    spec: BookSpec = BookSpec(),
 ) -> list[str]:
     """Declare lake tables in the session's catalog, for SQL over the lake.
 
-    Existing declarations are replaced, so that newly written months are seen.
-    The tables are external: dropping them leaves the files.
+    Newly written runs and months are added to existing declarations, which are
+    replaced only if the columns differ. `ref` is an int everywhere. The tables
+    are external: dropping them leaves the files.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{zones.root}/_catalog'")
     done = []
     for name in tables:
         path = zones.raw(name) if name in RAW else zones.curated(name)
-        schema = {**RAW, "stage": STAGE}.get(name) or spark.read.parquet(path).schema
+        schema = {**RAW, "stage": STAGE}.get(name) or book_schema(spec)
+        by = ("dt_proc", "ref") if name in RAW else ("ref",)
+        schema = T.StructType([f for f in schema if f.name not in by] + [schema[c] for c in by])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
         full = f"{database}.{name}"
-        spark.sql(f"DROP TABLE IF EXISTS {full}")
-        spark.sql(f"CREATE TABLE {full} ({columns}) USING parquet PARTITIONED BY (ref) LOCATION '{path}'")
+        if spark.catalog.tableExists(full) and spark.table(full).dtypes != [
+            (f.name, f.dataType.simpleString()) for f in schema
+        ]:
+            spark.sql(f"DROP TABLE {full}")
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {full} ({columns}) USING parquet "
+            f"PARTITIONED BY ({', '.join(by)}) LOCATION '{path}'"
+        )
         spark.catalog.recoverPartitions(full)
         done.append(full)
     return done

@@ -12,23 +12,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from billbook.config import INTENDED, Zones
-from billbook.operators.standardize import STANDARDIZE
-from billbook.schema import INGESTION, RAW_NAME
+from billbook.operators.standardize import STANDARDIZE, has_keys
+from billbook.schema import CONTROL, INGESTION, INVOICE_KEYS, RAW_NAME
+from billbook.sinks.lake import write_control
 from billbook.sources.ingestion import CSV
+from billbook.sources.lake import read_raw
+
+
+# A snapshot file stands in the directory of its run.
+RUN_OF_FILE = r"_(\d{14})/[^/]+$"
 
 
 def load_arrivals(
     spark: SparkSession,
     zones: Zones,
     table: str,
-    run_ts: str,
     mode: str = INTENDED,
     max_files_per_batch: int = 10_000,
 ) -> StreamingQuery:
     """Load new snapshot files into the raw zone; await the returned query.
 
-    A raw table is filled either by this or by `load_job`: the file sink keeps
-    its own list of committed files, and readers of the table follow that list.
+    Every row is of the run whose directory its file stands in, so several
+    snapshots that wait for one call stay apart. A raw table is filled either by
+    this or by `load_job`: the file sink keeps its own list of committed files,
+    and readers of the table follow that list.
     """
     name = RAW_NAME[table]
     arrivals = (
@@ -36,13 +43,32 @@ def load_arrivals(
         .options(**CSV, enforceSchema="false", maxFilesPerTrigger=str(max_files_per_batch))
         .csv(f"{zones.ingestion(table)}/*")
     )
+    run = F.regexp_extract(F.col("_metadata.file_path"), RUN_OF_FILE, 1)
     return (
-        STANDARDIZE[table](arrivals, run_ts, mode)
+        STANDARDIZE[table](arrivals, run, mode)
         .hint("rebalance", F.col("ref"))
         .writeStream.format("parquet")
         .option("path", zones.raw(name))
         .option("checkpointLocation", zones.stream_state(name))
-        .partitionBy("ref")
+        .partitionBy("dt_proc", "ref")
         .trigger(availableNow=True)
         .start()
     )
+
+
+def audit_arrivals(spark: SparkSession, zones: Zones, table: str) -> None:
+    """Audit rows of the runs that the stream has loaded and that have none yet.
+
+    Call it when a stream has ended. Repeating it adds nothing.
+    """
+    name = RAW_NAME[table]
+    raw = read_raw(spark, zones, name)
+    rejected = (~has_keys(INVOICE_KEYS) | F.col("ref").isNull()).cast("long")
+    runs = raw.groupBy("dt_proc").agg(
+        F.count(F.lit(1)).alias("qtd_registros"), F.sum(rejected).alias("qtd_rejeitados")
+    )
+    # Makes an empty table the first time.
+    spark.createDataFrame([], CONTROL).write.mode("append").parquet(zones.control(name))
+    known = spark.read.schema(CONTROL).parquet(zones.control(name)).select("dt_proc")
+    new = runs.join(known, "dt_proc", "leftanti").withColumn("tb_name", F.lit(name))
+    write_control(new.select(*CONTROL.names), zones.control(name))

@@ -144,6 +144,17 @@ def payment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def malformed_payment_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Payment text of which every fifth line item has no readable amount and every seventh no date."""
+    text = payment_text(spark, sf_dir)
+    line = F.substring_index("id_pagamento", "-", -1).cast("bigint")
+    return text.select(
+        "id_pagamento", "id_fatura", "id_cliente",
+        F.when(line % 7 == 0, "10/05/2000").otherwise(F.col("data_pagamento")).alias("data_pagamento"),
+        F.when(line % 5 == 0, "x").otherwise(F.col("valor_pagamento")).alias("valor_pagamento"),
+    )
+
+
 _lakes: dict[tuple[str, str], Zones] = {}
 _done: set[tuple[str, str, str]] = set()
 

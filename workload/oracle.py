@@ -85,16 +85,16 @@ PAY_SHOWN = """id_pagamento, id_fatura, id_cliente, dt_proc,
   cast(ref as bigint) as ref"""
 
 
-def _latest(name: str, source: str, where: str = "true") -> str:
+def _latest(name: str, source: str, where: str = "true", keys: str = "id_cliente, id_fatura") -> str:
     """Rows of the greatest (ref, dt_proc) per key, ties kept."""
     return f"""
 {name} as (
   select t.*
   from {source} t
   join (
-    select id_cliente, id_fatura, max(cast(ref as varchar) || dt_proc) as top
-    from {source} where {where} group by id_cliente, id_fatura
-  ) m using (id_cliente, id_fatura)
+    select {keys}, max(cast(ref as varchar) || dt_proc) as top
+    from {source} where {where} group by {keys}
+  ) m using ({keys})
   where {where} and cast(ref as varchar) || dt_proc = top
 )"""
 
@@ -110,8 +110,12 @@ def _literal_dedup(name: str, source: str, where: str = "true") -> str:
 )"""
 
 
-def _joined(where: str = "true", dedup=_latest) -> str:
-    return RAW + "," + dedup("inv1", "inv", where) + "," + dedup("pay1", "pay", where) + """,
+def _by_payment(name: str, source: str, where: str) -> str:
+    return _latest(name, source, where, "id_cliente, id_fatura" + ", id_pagamento" * (source == "pay"))
+
+
+def _joined(where: str = "true", dedup=_latest, raw: str = RAW) -> str:
+    return raw + "," + dedup("inv1", "inv", where) + "," + dedup("pay1", "pay", where) + """,
 joined as (
   select a.id_fatura, a.id_cliente, a.data_emissao, a.data_vencimento, a.valor_fatura,
          a.valor_pagamento_minimo, b.data_pagamento, b.valor_pagamento
@@ -119,12 +123,12 @@ joined as (
 )"""
 
 
-def _variables(where: str = "true", dedup=_latest, literal_pct: bool = False) -> str:
+def _variables(where: str = "true", dedup=_latest, literal_pct: bool = False, raw: str = RAW) -> str:
     ratio = "100 * cast(valor_pagamento as double) / nullif(cast(valor_fatura as double), 0)"
     pct = ratio if literal_pct else (
         f"case vlr when 'SEM_PAGAMENTO' then 0 when 'PAGAMENTO_TOTAL' then 100 else {ratio} end"
     )
-    return _joined(where, dedup) + f""",
+    return _joined(where, dedup, raw) + f""",
 classed as (
   select *,
     case when data_pagamento is null then 'SEM_PAGAMENTO'
@@ -151,7 +155,7 @@ vars as (
 
 IN_RANGE = f"ref between {FIRST} and {LAST}"
 
-STAGE_SHOWN = f"""select id_cliente, '200002' as ref, '{RUN}' as dt_proc,
+STAGE_SHOWN = f"""select id_cliente, cast(200002 as bigint) as ref, '{RUN}' as dt_proc,
   dias as fbc_classificacao_dias_pagamento,
   strftime(data_emissao, '%Y-%m-%d') as data_emissao,
   cast(valor_fatura as double) as fvl_valor_fatura,
@@ -231,14 +235,38 @@ def _window(months: int, up_to_reference: bool = False) -> str:
     return test + (f" and data_emissao <= {REF}" if up_to_reference else "")
 
 
-def _book(documented: bool = False, up_to_reference: bool = False) -> str:
+def _loaded_text(literal: bool) -> str:
+    """Raw tables as the load jobs make them of the text, payments with malformed values."""
+    number = "substring(id_fatura, 3, 2)" if literal else "split_part(id_fatura, '-', 2)"
+    day = _january if literal else "try_cast({} as date)".format
+    pay = RAW.split("pay as (", 1)[1]
+    return TEXT + RAW.removeprefix(ORDERS).replace("inv as (", "inv0 as (", 1).split("pay as (", 1)[0] + f"""
+inv as (
+  select try_cast({number} as bigint) as id_fatura, try_cast(id_cliente as bigint) as id_cliente,
+         '{LOAD_1}' as dt_proc, {day("data_emissao")} as data_emissao, {day("data_vencimento")} as data_vencimento,
+         cast(valor_fatura as decimal(15,2)) as valor_fatura,
+         cast(valor_pagamento_minimo as decimal(15,2)) as valor_pagamento_minimo,
+         cast(substring(replace(data_emissao, '-', ''), 1, 6) as int) as ref
+  from txt
+),
+pay0 as ({pay},
+pay as (
+  select id_pagamento, id_fatura, id_cliente, '{LOAD_1}' as dt_proc, data_pagamento,
+         case when cast(id_pagamento as bigint) % 5 <> 0 then valor_pagamento end as valor_pagamento, ref
+  from pay0 where cast(id_pagamento as bigint) % 7 <> 0
+)"""
+
+
+def _book(
+    documented: bool = False, up_to_reference: bool = False, literal: bool = False, raw: str = RAW
+) -> str:
     columns = []
     for number, expression, _, label, _, months, _, sql in _blocks(documented):
         f = f"filter (where {expression} = '{label}' and {_window(months, up_to_reference)})"
         columns.append(f"{sql.format(f=f)} as VAR_{number}")
     return (
-        "with " + _variables(IN_RANGE)
-        + f"\nselect id_cliente, '200002' as ref, '{RUN}' as dt_proc,\n"
+        "with " + _variables(IN_RANGE, _literal_dedup if literal else _latest, literal, raw)
+        + f"\nselect id_cliente, cast(200002 as bigint) as ref, '{RUN}' as dt_proc,\n"
         + ",\n".join(columns)
         + "\nfrom vars group by id_cliente"
     )
@@ -282,12 +310,21 @@ def _show(columns: str, body: str, source: str) -> str:
     return f"with {body}\nselect {columns} from {source}"
 
 
-def _standardized(number: str, issued: str, due: str) -> str:
+def _control(table: str, runs: str) -> str:
+    """One audit row per run; an order without a customer or hyphen cannot be used."""
+    bad = "id_cliente is null or o_orderpriority = '4-NOT SPECIFIED'"
+    return (
+        f"with {ORDERS} select '{table}' as tb_name, dt_proc, count(*) as qtd_registros, "
+        f"count(*) filter (where {bad}) as qtd_rejeitados from ord, {runs} group by dt_proc"
+    )
+
+
+def _standardized(number: str, issued: str, due: str, run: str = RUN) -> str:
     return f"""with {TEXT}
 select {number} as id_fatura,
        try_cast(id_cliente as bigint) as id_cliente,
-       '{RUN}' as dt_proc,
-       substring(replace(data_emissao, '-', ''), 1, 6) as ref,
+       '{run}' as dt_proc,
+       try_cast(substring(replace(data_emissao, '-', ''), 1, 6) as bigint) as ref,
        strftime({issued}, '%Y-%m-%d') as data_emissao,
        strftime({due}, '%Y-%m-%d') as data_vencimento,
        cast(cast(valor_fatura as decimal(15,2)) as double) as valor_fatura,
@@ -329,20 +366,32 @@ ORACLE: dict[str, str] = {
     ),
     "raw_payments": f"""with {RAW}
 select 'P' || id_pagamento as id_pagamento, id_fatura, id_cliente, '{RUN}' as dt_proc,
-       cast(ref as varchar) as ref, strftime(data_pagamento, '%Y-%m-%d') as data_pagamento,
+       cast(ref as bigint) as ref, strftime(data_pagamento, '%Y-%m-%d') as data_pagamento,
        cast(valor_pagamento as double) as valor_pagamento
 from pay""",
     "scan_raw_range": _show(INV_SHOWN, RAW, f"inv where {IN_RANGE}"),
-    "control_row": f"select 'faturas' as tb_name, '{RUN}' as dt_proc, count(*) as qtd_registros from orders",
+    "control_row": _control("faturas", f"(values ('{RUN}')) t(dt_proc)"),
+    "control_row_csv": _control("faturas", f"(values ('{RUN}')) t(dt_proc)"),
+    "daily_load_stream_audit": _control(
+        "faturas", f"(values ('{LOAD_1}'), ('{LOAD_2}'), ('{LOAD_3}')) t(dt_proc)"
+    ),
+    "daily_load_stream_latest": _standardized(
+        "try_cast(split_part(id_fatura, '-', 2) as bigint)",
+        "try_cast(data_emissao as date)",
+        "try_cast(data_vencimento as date)", LOAD_3,
+    ) + " where id_cliente is not null and split_part(id_fatura, '-', 2) <> ''",
     "daily_load_stream": f"""with {RAW}
 select dt_proc, cast(ref as bigint) as ref, count(*) as qtd, cast(sum(valor_fatura) as double) as total
 from (select ref, cast(valor_fatura as decimal(15,2)) as valor_fatura from inv where dt_proc = '{LOAD_1}'),
-     (values ('{LOAD_1}'), ('{LOAD_2}')) t(dt_proc)
+     (values ('{LOAD_1}'), ('{LOAD_2}'), ('{LOAD_3}')) t(dt_proc)
 group by dt_proc, ref""",
-    "adhoc_sql": f"""with {RAW},
+    "adhoc_sql": f"""with {_variables(IN_RANGE)},
 e as (select ref, count(*) as faturas, cast(sum(valor_fatura) as double) as faturado from inv group by ref),
 p as (select ref, count(*) as pagamentos, cast(sum(valor_pagamento) as double) as pago from pay group by ref)
-select cast(ref as varchar) as ref, faturas, faturado, pagamentos, pago from e full join p using (ref)""",
+select cast(ref as bigint) as ref, faturas, faturado, pagamentos, pago,
+       case when ref = 200002 then (select count(*) from vars) end as linhas,
+       case when ref = 200002 then (select count(distinct id_cliente) from vars) end as clientes
+from e full join p using (ref)""",
     "write_read_append": _show(INV_SHOWN, RAW, "inv"),
     "write_read_overwrite": _show(INV_SHOWN, RAW, f"inv where dt_proc = '{LOAD_2}'"),
     "write_read_replace_months": _show(
@@ -355,15 +404,29 @@ select cast(ref as varchar) as ref, faturas, faturado, pagamentos, pago from e f
     ),
     "dedup_invoices": _show(INV_SHOWN, RAW + "," + _latest("d", "inv"), "d"),
     "dedup_payments": _show(PAY_SHOWN, RAW + "," + _latest("d", "pay"), "d"),
+    "dedup_payments_salted": _show(PAY_SHOWN, RAW + "," + _latest("d", "pay"), "d"),
     "dedup_invoices_as_written": _show(INV_SHOWN, RAW + "," + _literal_dedup("d", "inv"), "d"),
     "dedup_payments_as_written": _show(PAY_SHOWN, RAW + "," + _literal_dedup("d", "pay"), "d"),
-    "rejected_invoices": _show(INV_SHOWN, RAW, "inv where id_cliente is null or id_fatura is null"),
+    "rejected_invoices": "select *, 'sem chave' as motivo from (" + _standardized(
+        "try_cast(split_part(id_fatura, '-', 2) as bigint)",
+        "try_cast(data_emissao as date)",
+        "try_cast(data_vencimento as date)",
+    ) + ") where id_cliente is null or id_fatura is null",
     "invoice_payment_join": _show(
         """id_fatura, id_cliente, strftime(data_emissao, '%Y-%m-%d') as data_emissao,
   strftime(data_vencimento, '%Y-%m-%d') as data_vencimento,
   cast(valor_fatura as double) as valor_fatura,
   cast(valor_pagamento_minimo as double) as valor_pagamento_minimo,
   strftime(data_pagamento, '%Y-%m-%d') as data_pagamento,
+  cast(valor_pagamento as double) as valor_pagamento""",
+        _joined(), "joined",
+    ),
+    "invoice_payment_join_salted": _show(
+        """id_fatura, id_cliente, strftime(data_emissao, '%Y-%m-%d') as data_emissao,
+  strftime(data_vencimento, '%Y-%m-%d') as data_vencimento,
+  cast(valor_fatura as double) as valor_fatura,
+  cast(valor_pagamento_minimo as double) as valor_pagamento_minimo,
+  strftime(data_pagamento, '%Y-%m-%d') as data_pagamento,
   cast(valor_pagamento as double) as valor_pagamento""",
         _joined(), "joined",
     ),
@@ -381,12 +444,15 @@ select cast(ref as varchar) as ref, faturas, faturado, pagamentos, pago from e f
         RAW + "," + _latest("d", "inv"), "d",
     ),
     "stage": "with " + _variables(IN_RANGE) + "\n" + STAGE_SHOWN,
+    "stage_by_payment": "with " + _variables(IN_RANGE, _by_payment) + "\n" + STAGE_SHOWN,
     "stage_as_written": "with " + _variables(IN_RANGE, _literal_dedup, literal_pct=True) + "\n" + STAGE_SHOWN,
     "book": _book(),
     "book_documented": _book(documented=True),
     "book_up_to_reference": _book(up_to_reference=True),
+    "book_from_text": _book(raw=_loaded_text(False)),
+    "book_as_written": _book(literal=True, raw=_loaded_text(True)),
     "book_long": "with " + _long() + f"""
-select id_cliente, '200002' as ref, '{RUN}' as dt_proc, variable, class_column, class_value,
+select id_cliente, cast(200002 as bigint) as ref, '{RUN}' as dt_proc, variable, class_column, class_value,
        measure, months, aggregate,
        case when measure = 'fvl_pct_fatura_pgto' then round(value, 4) else value end as value
 from long""",

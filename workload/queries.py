@@ -11,24 +11,26 @@ from pyspark.sql import types as T
 from billbook.config import AS_WRITTEN, INTENDED, Zones, month_bounds
 from billbook.functions.calendar import window_flags
 from billbook.operators.dedup import latest_key
-from billbook.operators.standardize import rejects, standardize_invoices, standardize_payments
-from billbook.plans.book import feature_book, feature_book_long
-from billbook.plans.jobs import load_job
+from billbook.operators.standardize import standardize_invoices, standardize_payments
+from billbook.plans.book import book_schema, feature_book, feature_book_long
+from billbook.plans.jobs import book_job, extract_job, load_job
 from billbook.plans.spec import BookSpec, catalog, expand
 from billbook.plans.stage import (
     AMOUNT, TIMING, build_stage, latest_joined, latest_versions, payment_variables,
 )
 from billbook.session import scratch_dir
-from billbook.sinks.lake import replace_months, write_raw
-from billbook.schema import CONTROL
+from billbook.sinks.lake import replace_months, write_month, write_months, write_raw
+from billbook.schema import CONTROL, INVOICE_KEYS
 from billbook.sources.ingestion import extract_snapshot, read_ingestion
-from billbook.sources.lake import in_months, read_look_back, read_raw, read_stage, register_zones
-from billbook.streaming.daily_load import load_arrivals
+from billbook.sources.lake import in_months, read_look_back, read_raw, read_rejects, read_stage, register_zones
+from billbook.streaming.daily_load import audit_arrivals, load_arrivals
 from workload import billing
 from workload.billing import LOADS, REF_DATE, RUN_TS
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+BY_PAYMENT = (*INVOICE_KEYS, "id_pagamento")
+
 
 def present(df: DataFrame) -> DataFrame:
     """Types that any engine compares alike: exact ones as double, dates as text, ints as bigint."""
@@ -84,22 +86,54 @@ def control(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(CONTROL).parquet(zones.control("faturas"))
 
 
-def daily_load_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two days of arrivals, the second call picking up only the new one."""
+def control_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The audit as text without a header, in a table of another name."""
     zones = _fresh(spark)
-    text = billing.invoice_text(spark, sf_dir)
-    for run_ts in LOADS[:2]:
-        extract_snapshot(text, zones, "tb_faturas", run_ts)
-        load_arrivals(spark, zones, "tb_faturas", run_ts).awaitTermination()
+    extract_snapshot(billing.invoice_text(spark, sf_dir), zones, "tb_faturas", LOADS[0])
+    load_job(spark, zones, "tb_faturas", RUN_TS, control_format="csv", control_table="cargas")
+    return spark.read.schema(CONTROL).csv(zones.control("cargas"))
+
+
+def daily_load_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of arrivals in two calls, the second picking up only the new ones."""
+    zones = _streamed(spark, sf_dir)
     loaded = read_raw(spark, zones, "faturas")
     return loaded.groupBy("dt_proc", "ref").agg(
         F.count(F.lit(1)).alias("qtd"), F.sum("valor_fatura").cast("double").alias("total")
     ).withColumn("ref", F.col("ref").cast("bigint"))
 
 
+def _streamed(spark: SparkSession, sf_dir: str) -> Zones:
+    """A first call with one snapshot, then one with two that wait; audited twice, which adds nothing."""
+    zones = _fresh(spark)
+    text = billing.invoice_text(spark, sf_dir)
+    for runs in (LOADS[:1], LOADS[1:]):
+        for run_ts in runs:
+            extract_snapshot(text, zones, "tb_faturas", run_ts)
+        load_arrivals(spark, zones, "tb_faturas").awaitTermination()
+        audit_arrivals(spark, zones, "tb_faturas")
+    audit_arrivals(spark, zones, "tb_faturas")
+    return zones
+
+
+def daily_load_stream_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three full snapshots are one invoice each after deduplication."""
+    return present(latest_versions(read_raw(spark, _streamed(spark, sf_dir), "faturas")))
+
+
+def daily_load_stream_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(CONTROL).parquet(_streamed(spark, sf_dir).control("faturas"))
+
+
 def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = billing.lake(spark, sf_dir)
-    register_zones(spark, zones, "lake", ("faturas", "pagamentos"))
+    stage = written_stage(spark, sf_dir)
+    month = month_bounds(REF_DATE)[1]
+    billing.once(
+        spark, sf_dir, "book",
+        lambda: write_month(feature_book(stage, BookSpec(), REF_DATE), zones.curated("book"), month),
+    )
+    register_zones(spark, zones, "lake")
     return spark.sql("""
         with emitido as (
             select ref, count(*) as faturas, cast(sum(valor_fatura) as double) as faturado
@@ -107,33 +141,38 @@ def adhoc_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
         ), pago as (
             select ref, count(*) as pagamentos, cast(sum(valor_pagamento) as double) as pago
             from lake.pagamentos group by ref
+        ), estagio as (
+            select ref, count(*) as linhas from lake.stage where ref between 200001 and 200002 group by ref
+        ), livro as (
+            select ref, count(*) as clientes from lake.book where ref between 200001 and 200002 group by ref
         )
-        select ref, faturas, faturado, pagamentos, pago
-        from emitido full join pago using (ref)
+        select cast(ref as bigint) as ref, faturas, faturado, pagamentos, pago, linhas, clientes
+        from emitido full join pago using (ref) left join estagio using (ref) left join livro using (ref)
     """)
 
 
 def write_read_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh(spark).raw("faturas")
-    rows = billing.invoices(spark, sf_dir)
-    write_raw(rows.where(F.col("dt_proc") == LOADS[0]), path, "append")
-    write_raw(rows.where(F.col("dt_proc") == LOADS[1]), path, "append")
-    return present(spark.read.parquet(path))
+    """Two loads, the second repeated: a repeated load replaces itself."""
+    zones = _fresh(spark)
+    path, rows = zones.raw("faturas"), billing.invoices(spark, sf_dir)
+    for run_ts in (LOADS[0], LOADS[1], LOADS[1]):
+        write_raw(rows.where(F.col("dt_proc") == run_ts), path, "append")
+    return present(read_raw(spark, zones, "faturas"))
 
 
 def write_read_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = _fresh(spark).raw("faturas")
-    rows = billing.invoices(spark, sf_dir)
+    zones = _fresh(spark)
+    path, rows = zones.raw("faturas"), billing.invoices(spark, sf_dir)
     write_raw(rows.where(F.col("dt_proc") == LOADS[0]), path, "overwrite")
     write_raw(rows.where(F.col("dt_proc") == LOADS[1]), path, "overwrite")
-    return present(spark.read.parquet(path))
+    return present(read_raw(spark, zones, "faturas"))
 
 
 def write_read_replace_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All months of the first load, then the look-back months of the second in their place."""
     path = _fresh(spark).raw("faturas")
     rows = billing.invoices(spark, sf_dir)
-    write_raw(rows.where(F.col("dt_proc") == LOADS[0]), path)
+    write_months(rows.where(F.col("dt_proc") == LOADS[0]), path, "append")
     second = in_months(rows.where(F.col("dt_proc") == LOADS[1]), *month_bounds(REF_DATE))
     replace_months(second, path)
     return present(spark.read.parquet(path))
@@ -154,7 +193,11 @@ def dedup(name: str, mode: str) -> Query:
 
 
 def rejected_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return present(rejects(_raw(spark, sf_dir, "faturas")))
+    """What the load job found unusable, read from the table it wrote."""
+    zones = _fresh(spark)
+    extract_snapshot(billing.invoice_text(spark, sf_dir), zones, "tb_faturas", LOADS[0])
+    load_job(spark, zones, "tb_faturas", RUN_TS)
+    return present(read_rejects(spark, zones, "faturas"))
 
 
 def _joined(spark: SparkSession, sf_dir: str, mode: str = INTENDED) -> DataFrame:
@@ -167,6 +210,22 @@ def invoice_payment_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(_joined(spark, sf_dir))
 
 
+# Far below the library's 10 million, so that whole tables of any size here have hot keys.
+FEW_ROWS = 3
+
+
+def invoice_payment_join_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every invoice with more than FEW_ROWS rows or payments is split and copied."""
+    joined = latest_joined(
+        _raw(spark, sf_dir, "faturas"), _raw(spark, sf_dir, "pagamentos"), rows_per_task=FEW_ROWS
+    )
+    return present(joined)
+
+
+def dedup_payments_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(latest_versions(_raw(spark, sf_dir, "pagamentos"), rows_per_task=FEW_ROWS))
+
+
 # Stage variables
 
 _PAIR = ("id_fatura", "id_cliente", "data_vencimento", "data_pagamento")
@@ -201,6 +260,16 @@ def _stage(spark: SparkSession, zones: Zones, mode: str = INTENDED) -> DataFrame
     )
 
 
+def stage_by_payment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Versions are told apart by payment, so all instalments of an invoice stay."""
+    zones = billing.lake(spark, sf_dir)
+    return present(build_stage(
+        read_look_back(spark, zones, "faturas", REF_DATE),
+        read_look_back(spark, zones, "pagamentos", REF_DATE),
+        REF_DATE, RUN_TS, payment_keys=BY_PAYMENT,
+    ))
+
+
 def stage(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(_stage(spark, billing.lake(spark, sf_dir), mode))
@@ -225,9 +294,9 @@ def _present_book(df: DataFrame, spec: BookSpec) -> DataFrame:
 
 def written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage as the book job sees it: read back from its files, written once per session."""
-    zones = billing.lake(spark, sf_dir)
-    billing.once(spark, sf_dir, "stage", lambda: replace_months(_stage(spark, zones), zones.curated("stage")))
-    return read_stage(spark, zones, f"{month_bounds(REF_DATE)[1]}")
+    zones, month = billing.lake(spark, sf_dir), month_bounds(REF_DATE)[1]
+    billing.once(spark, sf_dir, "stage", lambda: write_month(_stage(spark, zones), zones.curated("stage"), month))
+    return read_stage(spark, zones, month, RUN_TS)
 
 
 def book(spec: BookSpec) -> Query:
@@ -237,6 +306,26 @@ def book(spec: BookSpec) -> Query:
     return query
 
 
+def _from_text(spark: SparkSession, sf_dir: str, mode: str) -> Zones:
+    """All jobs of a run in order, from extract to book; each load is run twice, as a retry would."""
+    zones = _fresh(spark)
+    for name, text in (("tb_faturas", billing.invoice_text), ("tb_pagamentos", billing.malformed_payment_text)):
+        extract_job(text(spark, sf_dir), zones, name, LOADS[0])
+        for _ in range(2):
+            load_job(spark, zones, name, LOADS[0], mode=mode)
+    book_job(spark, zones, REF_DATE, RUN_TS, mode=mode)
+    return zones
+
+
+def book_from_text(mode: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        zones = _from_text(spark, sf_dir, mode)
+        schema = book_schema(BookSpec())
+        return _present_book(spark.read.schema(schema).parquet(zones.curated("book")), BookSpec())
+
+    return query
+
+
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_book_long(written_stage(spark, sf_dir), BookSpec(), REF_DATE)
 
@@ -268,7 +357,10 @@ QUERIES: dict[str, Query] = {
     "raw_payments": raw_payments,
     "scan_raw_range": scan_raw_range,
     "control_row": control,
+    "control_row_csv": control_csv,
     "daily_load_stream": daily_load_stream,
+    "daily_load_stream_latest": daily_load_stream_latest,
+    "daily_load_stream_audit": daily_load_stream_audit,
     "adhoc_sql": adhoc_sql,
     "write_read_append": write_read_append,
     "write_read_overwrite": write_read_overwrite,
@@ -279,6 +371,8 @@ QUERIES: dict[str, Query] = {
     "dedup_invoices_as_written": dedup("faturas", AS_WRITTEN),
     "dedup_payments_as_written": dedup("pagamentos", AS_WRITTEN),
     "rejected_invoices": rejected_invoices,
+    "invoice_payment_join_salted": invoice_payment_join_salted,
+    "dedup_payments_salted": dedup_payments_salted,
     "invoice_payment_join": invoice_payment_join,
     "days_class": variable(*_PAIR, TIMING),
     "days_late": variable(*_PAIR, "fvl_numero_dias_atraso"),
@@ -288,9 +382,12 @@ QUERIES: dict[str, Query] = {
     "window_flags": flags,
     "stage": stage(INTENDED),
     "stage_as_written": stage(AS_WRITTEN),
+    "stage_by_payment": stage_by_payment,
     "book": book(BookSpec()),
     "book_documented": book(BookSpec().documented()),
     "book_up_to_reference": book(BookSpec(include_after_ref=False)),
+    "book_from_text": book_from_text(INTENDED),
+    "book_as_written": book_from_text(AS_WRITTEN),
     "book_long": book_long,
     "book_catalog": book_catalog,
 }
