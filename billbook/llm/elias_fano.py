@@ -92,11 +92,19 @@ class EliasFano:
         end = self._select(np.clip(high, 0, zeros - 1), False) - high
         at, end = np.maximum(at, first), np.minimum(end, last)
         wanted = values & np.uint64((1 << self.low_bits) - 1)
-        open_ = np.nonzero((at < end) & (high < zeros))[0]
-        while len(open_):
-            low = self._low(at[open_])
-            hit = low == wanted[open_]
-            found[open_[hit]] = at[open_[hit]]
-            at[open_] += 1
-            open_ = open_[(low < wanted[open_]) & (at[open_] < end[open_])]
+        asked = np.nonzero((at < end) & (high < zeros))[0]
+        at, stop, wanted = at[asked], end[asked], wanted[asked]
+        end = stop.copy()
+        while True:
+            # Binary search for the first low part that is not smaller: a high part may hold very many.
+            open_ = np.nonzero(at < stop)[0]
+            if not len(open_):
+                break
+            middle = (at[open_] + stop[open_]) // 2
+            smaller = self._low(middle) < wanted[open_]
+            at[open_] = np.where(smaller, middle + 1, at[open_])
+            stop[open_] = np.where(smaller, stop[open_], middle)
+        inside = np.nonzero(at < end)[0]
+        hit = inside[self._low(at[inside]) == wanted[inside]]
+        found[asked[hit]] = at[hit]
         return found

@@ -42,8 +42,8 @@ from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
 from billbook.llm.common import written
 from billbook.llm.elias_fano import EliasFano
 
-CHUNK_TOKENS = 1_000_000
-SHARD_TOKENS = 4_000_000
+CHUNK_TOKENS = 500_000
+SHARD_TOKENS = 2_000_000
 MU = 200.0
 STEPS = 5_000  # stored probabilities are 10 ** (-code / STEPS)
 END, START = " end", " start"  # no words: they hold a blank
@@ -313,8 +313,8 @@ def bigram_answers(chunks: DataFrame, shards: int, hot: dict[int, int]) -> DataF
 
     def answer(group: pa.Table) -> pa.Table:
         parts = [unpack(b.as_py()) for b in group.column("block")]
-        contexts = np.concatenate([np.repeat(p[0], p[1].astype(np.int64)) for p in parts])
-        words = np.concatenate([_from_five(p[2]) for p in parts])
+        asked = [(np.repeat(p[0], p[1].astype(np.int64)), _from_five(p[2])) for p in parts]
+        contexts, words = (np.concatenate([a[i] for a in asked]) for i in (0, 1))
         counts = np.concatenate([p[3].astype(np.int64) for p in parts])
         order = np.lexsort((words, contexts))
         sorted_contexts, sorted_words = contexts[order], words[order]
@@ -327,9 +327,9 @@ def bigram_answers(chunks: DataFrame, shards: int, hot: dict[int, int]) -> DataF
         with tempfile.TemporaryDirectory() as folder:
             path = os.path.join(folder, "trie")
             trie.save(path)
-            del trie, order, new, sorted_contexts, sorted_words
-            codes = Trie.mapped(path).codes_of(contexts, words)
-        found = np.split(codes, np.cumsum([len(p[3]) for p in parts])[:-1])
+            del trie, order, new, first, sorted_contexts, sorted_words, contexts, words, counts, parts
+            mapped = Trie.mapped(path)
+            found = [mapped.codes_of(*a) for a in asked]
         return pa.table(
             {
                 "chunk": group.column("chunk"),
