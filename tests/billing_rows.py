@@ -56,13 +56,13 @@ def random_stage(spark, rows=600, customers=40, seed=7):
             rng.randrange(customers) if rng.random() > 0.02 else None, RUN_TS, rng.choice(timing),
             day(), money(), money(), money(), rng.choice(amount),
             rng.random() * 100 if rng.random() > 0.1 else None,
-            rng.randrange(-9, 40) if rng.random() > 0.1 else None, 1, "202402",
+            rng.randrange(-9, 40) if rng.random() > 0.1 else None, 1, 202402,
         )
         for _ in range(rows)
     ]
     # a customer outside every window and one without classes
-    data.append((900, RUN_TS, timing[0], date(2020, 1, 1), money(), money(), money(), amount[0], 1.0, 1, 1, "202402"))
-    data.append((901, RUN_TS, None, date(2024, 1, 15), money(), money(), money(), None, 1.0, 1, 1, "202402"))
+    data.append((900, RUN_TS, timing[0], date(2020, 1, 1), money(), money(), money(), amount[0], 1.0, 1, 1, 202402))
+    data.append((901, RUN_TS, None, date(2024, 1, 15), money(), money(), money(), None, 1.0, 1, 1, 202402))
     return spark.createDataFrame(data, STAGE)
 
 

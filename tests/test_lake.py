@@ -1,5 +1,6 @@
 """Zones end to end: extract, load, book, rerun, SQL, command line."""
 
+import os
 from collections import Counter
 from datetime import date
 from decimal import Decimal
@@ -9,13 +10,18 @@ from billing_rows import LOAD_1, LOAD_2, REF_DATE, RUN_TS, frames, invoice, paym
 
 from billbook.__main__ import main, parser
 from billbook.config import AS_WRITTEN, Zones
+from billbook.plans.book import book_schema
 from billbook.plans.jobs import book_job, extract_job, load_job
+from billbook.plans.spec import BookSpec
+from billbook.plans.stage import latest_versions
 from billbook.schema import CONTROL, INGESTION
 from billbook.session import scratch_dir
-from billbook.sinks.lake import control_row, replace_months, write_control, write_raw
+from billbook.sinks.lake import control_row, replace_months, write_control, write_months, write_raw
 from billbook.sources.ingestion import extract_snapshot, newest_run, read_ingestion
-from billbook.sources.lake import in_months, read_look_back, read_raw, register_zones
-from billbook.streaming.daily_load import load_arrivals
+from billbook.sources.lake import (
+    in_months, read_look_back, read_raw, read_rejects, read_stage, register_zones,
+)
+from billbook.streaming.daily_load import audit_arrivals, load_arrivals
 
 INVOICES = [
     ("F-1", "10", "2024-01-05", "2024-01-15", "100.00", "15.00"),
@@ -80,7 +86,7 @@ def test_load_writes_months_and_audit(spark, zones):
     ]
     assert [r["ref"] for r in raw.where("id_fatura is null").collect()] == [None]
     audit = spark.read.schema(CONTROL).parquet(zones.control("faturas")).collect()
-    assert [tuple(r) for r in audit] == [("faturas", LOAD_1, 5)]
+    assert [tuple(r) for r in audit] == [("faturas", LOAD_1, 5, 1)]
 
 
 def test_look_back_prunes_directories(spark, zones, capsys):
@@ -108,12 +114,61 @@ def test_replace_months_leaves_other_months(spark, zones):
     inv, _ = frames(
         spark, [invoice(1), invoice(2, ref=202312)], [payment(1, "2024-01-02", "1.00")]
     )
-    assert write_raw(inv, path) == 2
+    write_months(inv, path, "append")
     changed, _ = frames(spark, [invoice(7)], [payment(1, "2024-01-02", "1.00")])
     for _ in range(2):
         replace_months(changed, path)
-    assert sorted(r["id_fatura"] for r in read_raw(spark, zones, "faturas").collect()) == [2, 7]
-    assert in_months(read_raw(spark, zones, "faturas"), 202312, 202312).count() == 1
+    back = spark.read.parquet(path)
+    assert sorted(r["id_fatura"] for r in back.collect()) == [2, 7]
+    assert in_months(back, 202312, 202312).count() == 1
+
+
+def test_a_repeated_load_replaces_itself(spark, zones):
+    _load_all(spark, zones, LOAD_1)
+    extract_snapshot(_text(spark, "tb_faturas", INVOICES), zones, "tb_faturas", LOAD_2)
+    load_job(spark, zones, "tb_faturas", LOAD_2)
+    before = _rows(read_raw(spark, zones, "faturas"))
+    assert load_job(spark, zones, "tb_faturas", LOAD_2) == 5
+    assert _rows(read_raw(spark, zones, "faturas")) == before
+    # A retry with fewer months leaves none of the first attempt's, and the other run alone.
+    extract_snapshot(_text(spark, "tb_faturas", INVOICES[:2]), zones, "tb_faturas", LOAD_2)
+    load_job(spark, zones, "tb_faturas", LOAD_2)
+    runs = Counter(r["dt_proc"] for r in read_raw(spark, zones, "faturas").collect())
+    assert runs == {LOAD_1: 5, LOAD_2: 2}
+    assert [r["dt_proc"] for r in read_rejects(spark, zones, "faturas").collect()] == [LOAD_1]
+
+
+def test_rejects_have_reasons(spark, zones):
+    rows = [*INVOICES, ("F-9", None, "2024-01-05", "", "1", "1"), ("F-8", "1", "10/05/2024", "", "1", "1")]
+    extract_snapshot(_text(spark, "tb_faturas", rows), zones, "tb_faturas", LOAD_1)
+    assert load_job(spark, zones, "tb_faturas", LOAD_1) == 7
+    found = [(r["id_fatura"], r["motivo"]) for r in read_rejects(spark, zones, "faturas").collect()]
+    assert sorted(found, key=str) == [(8, "sem mes"), (9, "sem chave"), (None, "sem chave")]
+    audit = spark.read.schema(CONTROL).parquet(zones.control("faturas")).first()
+    assert (audit["qtd_registros"], audit["qtd_rejeitados"]) == (7, 3)
+
+
+def test_a_rerun_without_rows_empties_the_month(spark, zones):
+    _load_all(spark, zones)
+    book_job(spark, zones, REF_DATE, RUN_TS)
+    assert spark.read.parquet(zones.curated("book")).count() == 2
+    write_raw(read_raw(spark, zones, "faturas").limit(0), zones.raw("faturas"), "overwrite")
+    book_job(spark, zones, REF_DATE, "20240202220000")
+    assert spark.read.schema(book_schema(BookSpec())).parquet(zones.curated("book")).count() == 0
+    assert read_stage(spark, zones, 202402).count() == 0
+
+
+def test_newest_run_starts_no_job_and_skips_unfinished_runs(spark, zones):
+    text = _text(spark, "tb_faturas", INVOICES)
+    for run_ts in (LOAD_1, LOAD_2):
+        extract_snapshot(text, zones, "tb_faturas", run_ts)
+    os.remove(f"{zones.ingestion_run('tb_faturas', LOAD_2)}/_SUCCESS")
+    spark.sparkContext.setJobGroup("listing", "")
+    assert newest_run(spark, zones, "tb_faturas").endswith(LOAD_1)
+    assert list(spark.sparkContext.statusTracker().getJobIdsForGroup("listing")) == []
+    spark.sparkContext.setJobGroup("", "")
+    with pytest.raises(FileNotFoundError):
+        newest_run(spark, zones, "tb_pagamentos")
 
 
 def test_control_as_headerless_text(spark, zones):
@@ -121,7 +176,7 @@ def test_control_as_headerless_text(spark, zones):
     for _ in range(2):
         write_control(row, zones.control("faturas"), "csv")
     back = spark.read.csv(zones.control("faturas")).collect()
-    assert [tuple(r) for r in back] == [("faturas", LOAD_1, "5")] * 2
+    assert [tuple(r) for r in back] == [("faturas", LOAD_1, "5", "0")] * 2
 
 
 def test_book_job_and_its_rerun(spark, zones):
@@ -169,7 +224,7 @@ def test_sql_over_the_lake(spark, zones):
     rows = spark.sql("""
         select f.id_cliente, count(*) as n, max(b.VAR_17) as open
         from lake_test.faturas f join lake_test.book b on f.id_cliente = b.id_cliente
-        where f.ref between '202302' and '202402' group by f.id_cliente
+        where f.ref between 202302 and 202402 and b.ref = 202402 group by f.id_cliente
     """).collect()
     assert sorted(tuple(r) for r in rows) == [(10, 2, None), (11, 1, Decimal("50.00"))]
     _load_all(spark, zones, LOAD_2)
@@ -179,14 +234,23 @@ def test_sql_over_the_lake(spark, zones):
 
 def test_stream_loads_each_snapshot_once(spark, zones):
     text = _text(spark, "tb_faturas", INVOICES)
+    third = "20240203080000"
     extract_snapshot(text, zones, "tb_faturas", LOAD_1)
-    load_arrivals(spark, zones, "tb_faturas", LOAD_1).awaitTermination()
-    load_arrivals(spark, zones, "tb_faturas", LOAD_1).awaitTermination()
+    for _ in range(2):
+        load_arrivals(spark, zones, "tb_faturas").awaitTermination()
     assert read_raw(spark, zones, "faturas").count() == 5
-    extract_snapshot(text, zones, "tb_faturas", LOAD_2)
-    load_arrivals(spark, zones, "tb_faturas", LOAD_2).awaitTermination()
+    # Two snapshots wait for one call and stay two runs, of which one is the latest.
+    for run_ts in (LOAD_2, third):
+        extract_snapshot(text, zones, "tb_faturas", run_ts)
+    load_arrivals(spark, zones, "tb_faturas").awaitTermination()
     counts = Counter(r["dt_proc"] for r in read_raw(spark, zones, "faturas").collect())
-    assert counts == {LOAD_1: 5, LOAD_2: 5}
+    assert counts == {LOAD_1: 5, LOAD_2: 5, third: 5}
+    latest = latest_versions(read_raw(spark, zones, "faturas")).collect()
+    assert len(latest) == 4 and {r["dt_proc"] for r in latest} == {third}
+    for _ in range(2):
+        audit_arrivals(spark, zones, "tb_faturas")
+    audit = spark.read.schema(CONTROL).parquet(zones.control("faturas")).collect()
+    assert sorted(tuple(r) for r in audit) == [("faturas", run, 5, 1) for run in (LOAD_1, LOAD_2, third)]
 
 
 def test_command_line(spark, zones, capsys):
@@ -195,10 +259,15 @@ def test_command_line(spark, zones, capsys):
         main(["--root", zones.root, "--run-ts", LOAD_1, "load", table])
     main(["--root", zones.root, "--run-ts", RUN_TS, "book", "--ref-date", REF_DATE, "--documented"])
     assert len(spark.read.parquet(zones.curated("book")).columns) == 536 + 3
-    main(["--root", zones.root, "sql", "select count(*) as n from faturas", "--database", "lake_cli"])
+    statement = "select a.id_fatura from faturas a lateral view explode(sequence(1, 9)) as n"
+    shared = ["--root", zones.root, "sql", statement, "--database", "lake_cli"]
+    main([*shared, "--show", "2", "--output", f"{zones.root}/out"])
     spark.sql("USE default")
+    assert spark.read.parquet(f"{zones.root}/out").count() == 45
     out = capsys.readouterr().out
-    assert "tb_faturas: 5 rows" in out and "|5  |" in out
+    assert "tb_faturas: 5 rows" in out and "preview, 2 rows at most" in out
+    with pytest.raises(SystemExit):
+        main(shared)
 
 
 def test_extract_arguments():

@@ -52,7 +52,7 @@ def test_percent_by_mode(spark, mode, unpaid, full):
 def test_stage_schema_and_values(spark):
     stage = build_stage(*_frames(spark), REF_DATE, RUN_TS)
     assert dict(stage.dtypes) == {
-        "id_cliente": "bigint", "ref": "string", "dt_proc": "string",
+        "id_cliente": "bigint", "ref": "int", "dt_proc": "string",
         "fbc_classificacao_dias_pagamento": "string", "data_emissao": "date",
         "fvl_valor_fatura": "decimal(15,2)", "fvl_valor_pagamento_minimo": "decimal(15,2)",
         "fvl_valor_pagamento": "decimal(15,2)", "fbc_classificacao_vlr_pagamento": "string",
@@ -60,7 +60,7 @@ def test_stage_schema_and_values(spark):
     }
     rows = stage.collect()
     assert len(rows) == len(BRANCHES)
-    assert {(r["ref"], r["dt_proc"], r["fvl_qtd_transacao"]) for r in rows} == {("202402", RUN_TS, 1)}
+    assert {(r["ref"], r["dt_proc"], r["fvl_qtd_transacao"]) for r in rows} == {(202402, RUN_TS, 1)}
     assert {r["data_emissao"] for r in rows} == {date(2024, 1, 1)}
     paid = sum(Decimal(case[1][1]) for case in BRANCHES.values() if case[1])
     assert sum(r["fvl_valor_pagamento"] or 0 for r in rows) == paid

@@ -39,13 +39,13 @@ def test_stage_has_one_shuffle_per_table(spark, no_broadcast, capsys):
     assert all("199902" in partition and "IsNotNull(id_cliente)" in pushed for partition, pushed in filters)
 
 
-def test_book_has_one_shuffle(spark, tmp_path, capsys):
+def test_book_scans_once_and_shuffles_combined_rows(spark, tmp_path, capsys):
     path = str(tmp_path / "stage")
     random_stage(spark, rows=50).write.parquet(path)
     stage = spark.read.parquet(path)
     book = feature_book(stage, BookSpec(), REF_DATE)
     capsys.readouterr()
-    assert _plan(book, capsys).count("Arguments: hashpartitioning") == 1
-    combined = feature_book(stage, BookSpec(), REF_DATE, rows_per_task=None)
-    assert _plan(combined, capsys).count("Arguments: hashpartitioning") == 2
-    assert "BatchEvalPython" not in _plan(book, capsys)
+    plan = _plan(book, capsys)
+    assert plan.count("Arguments: hashpartitioning") == 2
+    assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
+    assert "BatchEvalPython" not in plan

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from billbook.config import AS_WRITTEN
 from billbook.operators.dedup import dedup_latest
-from billbook.operators.skew import SALT, find_hot_keys, frequent_hashes, salted
-from billbook.plans.book import feature_book, feature_book_long
+from billbook.operators.skew import SALT, find_hot_keys, plan_cells, salted
+from billbook.plans.book import feature_book, feature_book_direct
 from billbook.plans.spec import BookSpec
 from billbook.plans.stage import latest_joined, latest_versions
 
@@ -18,6 +18,10 @@ def _rows(df):
     return Counter(tuple(r) for r in df.collect())
 
 
+def _hot(df, rows_per_task=20):
+    return {(r["id_cliente"], r["id_fatura"]): r["rows"] for r in find_hot_keys(df, rows_per_task=rows_per_task).collect()}
+
+
 def _tables(spark, hot_invoice=False, hot_payment=False, load_of_hot=LOAD_1):
     invoices = [invoice(n, cliente=n % 7, total=f"{n}.00") for n in range(1, 60)]
     payments = [payment(n, "2024-01-05", f"{n}.00", cliente=n % 7, number=f"p{n}") for n in range(1, 50)]
@@ -41,8 +45,7 @@ def _tables(spark, hot_invoice=False, hot_payment=False, load_of_hot=LOAD_1):
 @pytest.mark.parametrize("load_of_hot", [LOAD_1, LOAD_2])
 def test_salted_join(spark, hot_invoice, hot_payment, load_of_hot):
     inv, pay = _tables(spark, hot_invoice, hot_payment, load_of_hot)
-    found_inv = {h.key for h in find_hot_keys(inv, rows_per_task=20)}
-    found_pay = {h.key for h in find_hot_keys(pay, rows_per_task=20)}
+    found_inv, found_pay = set(_hot(inv)), set(_hot(pay))
     assert found_inv == ({(1, 1), (6, 55)} if hot_invoice else set())
     assert found_pay == ({(2, 2), (3, 999)} if hot_payment else set())
     spread = latest_joined(inv, pay, rows_per_task=20)
@@ -71,8 +74,8 @@ def test_key_hot_on_both_sides(spark):
 
 def test_salting_spreads_a_hot_key(spark):
     _, pay = _tables(spark, hot_payment=True)
-    hot = find_hot_keys(pay, rows_per_task=20)
-    rows = salted(pay.repartition(4), hot, [], 20).where("id_fatura = 2")
+    cells = plan_cells(find_hot_keys(pay, rows_per_task=20), None, ("id_cliente", "id_fatura"), 20)
+    rows = salted(pay.repartition(4), cells, "left").where("id_fatura = 2")
     assert rows.select(SALT).distinct().count() >= 2
     assert rows.where("ref = 202312").count() == 0
 
@@ -82,12 +85,48 @@ def test_exact_counts_and_null_keys(spark):
         spark, [invoice(1)],
         [payment(1, "2024-01-05", "5.00")] * 30 + [payment(2, "2024-01-05", "5.00", cliente=None)] * 90,
     )
-    assert [(h.key, h.rows) for h in find_hot_keys(pay, rows_per_task=20)] == [((1, 1), 30)]
+    assert _hot(pay) == {(1, 1): 30}
 
 
 def test_no_rows(spark):
     inv, _ = frames(spark, [invoice(1)], [payment(1, "2024-01-05", "5.00")])
-    assert find_hot_keys(inv.where("id_fatura < 0")) == []
+    assert find_hot_keys(inv.where("id_fatura < 0")).isEmpty()
+
+
+def test_every_hot_key_is_found(spark):
+    """3,000 keys of 40 rows, and one of 3,000 rows among two million."""
+    columns = ["cast(1 as bigint) as id_cliente", "'20240201080000' as dt_proc", "202401 as ref"]
+    many = spark.range(120_000).selectExpr("id % 3000 as id_fatura", *columns)
+    assert find_hot_keys(many, rows_per_task=20).count() == 3000
+    rare = spark.range(2_000_000).selectExpr("if(id < 3000, -1, id) as id_fatura", *columns)
+    assert _hot(rare, 1000) == {(1, -1): 3000}
+
+
+def test_a_key_hot_on_both_sides_becomes_a_grid(spark):
+    inv, pay = frames(
+        spark, [invoice(1, total=f"{n}.00") for n in range(100)],
+        [payment(1, "2024-01-05", "5.00", number=f"p{n}") for n in range(100)],
+    )
+    keys = ("id_cliente", "id_fatura")
+    cells = plan_cells(find_hot_keys(inv, rows_per_task=20), find_hot_keys(pay, rows_per_task=20), keys, 20)
+    left = salted(inv.repartition(4), cells, "left").groupBy(SALT).count().collect()
+    right = salted(pay.repartition(4), cells, "right").groupBy(SALT).count().collect()
+    assert len(left) == len(right) == 25
+    assert max(r["count"] for r in left + right) < 60
+    spread = latest_joined(inv, pay, rows_per_task=20)
+    assert _rows(spread) == _rows(latest_joined(inv, pay, rows_per_task=None))
+
+
+@pytest.mark.parametrize("rows_per_task", [20, None])
+def test_payments_kept_apart_by_their_own_key(spark, rows_per_task):
+    inv, pay = _tables(spark, hot_invoice=True, hot_payment=True)
+    keys = ("id_cliente", "id_fatura", "id_pagamento")
+    found = latest_joined(inv, pay, rows_per_task=rows_per_task, payment_keys=keys)
+    paid = dedup_latest(pay, keys).select("id_cliente", "id_fatura", "data_pagamento", "valor_pagamento")
+    expected = dedup_latest(inv).join(paid, ["id_cliente", "id_fatura"], "left").select(*found.columns)
+    assert _rows(found) == _rows(expected)
+    with pytest.raises(ValueError):
+        latest_joined(inv, pay, payment_keys=("id_pagamento",))
 
 
 @pytest.mark.parametrize("rows_per_task", [20, 1000, None])
@@ -124,10 +163,6 @@ def test_book_of_large_customers(spark):
         "id_cliente", F.when(F.col("fvl_numero_dias_atraso") % 3 == 0, 5).otherwise(F.col("id_cliente"))
     )
     spec = BookSpec()
-    assert frequent_hashes(stage, spec.group_keys, 50)
-    plain = feature_book(stage, spec, REF_DATE)
-    split = feature_book(stage, spec, REF_DATE, rows_per_task=50)
-    first = feature_book(stage, spec, REF_DATE, rows_per_task=None)
 
     def near(df):
         return {
@@ -135,9 +170,4 @@ def test_book_of_large_customers(spark):
             for r in df.collect()
         }
 
-    assert near(split) == near(plain) == near(first)
-    assert plain.schema == split.schema == first.schema
-    assert (
-        feature_book_long(stage, spec, REF_DATE, 50).count()
-        == feature_book_long(stage, spec, REF_DATE).count()
-    )
+    assert near(feature_book(stage, spec, REF_DATE)) == near(feature_book_direct(stage, spec, REF_DATE))

@@ -35,11 +35,12 @@ def test_invoice_id(spark, text, intended, as_written):
 
 
 @pytest.mark.parametrize("text, intended, as_written, ref", [
-    ("2023-05-10", date(2023, 5, 10), date(2023, 1, 10), "202305"),
-    ("bad", None, None, "bad"),
-    ("", None, None, ""),
+    ("2023-05-10", date(2023, 5, 10), date(2023, 1, 10), 202305),
+    ("bad", None, None, None),
+    ("", None, None, None),
     (None, None, None, None),
-    ("2023-02-30", None, date(2023, 1, 30), "202302"),
+    ("2023-02-30", None, date(2023, 1, 30), 202302),
+    ("10/05/2023", None, None, None),
 ])
 def test_dates(spark, text, intended, as_written, ref):
     df = _invoices(spark, data_emissao=text)
@@ -64,7 +65,7 @@ def test_payment(spark, mode):
         INGESTION["tb_pagamentos"],
     )
     one, two = standardize_payments(df, RUN, mode).collect()
-    assert tuple(one) == ("abc", 123, 9, RUN, "202305", date(2023, 5, 10), Decimal("10.01"))
+    assert tuple(one) == ("abc", 123, 9, RUN, 202305, date(2023, 5, 10), Decimal("10.01"))
     assert tuple(two) == ("d", None, None, RUN, "10/05/", None, None)
 
 
