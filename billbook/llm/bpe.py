@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import base64
 import struct
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -27,9 +28,11 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-STATES = 30_000
-PAIRS = 300_000
+# About 120, 60 and 60 MB.
+STATES = 220_000
+PAIRS = 400_000
 PIECES = 250_000
+_NODE = (1 << 32) - 1
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -75,11 +78,12 @@ class Transducer:
         self._clear()
 
     def _clear(self) -> None:
-        start = ((-1, 0),)
+        # A state is its hypotheses, each as last token + 1 and trie node in one number, as bytes.
+        start = array("Q", [0]).tobytes()
         self.number = {start: 0}
         self.states = [start]
-        # Transitions: byte -> (next state, token that ends here, whether what is before it is decided).
-        self.steps: list[dict[int, tuple[int, int, bool]]] = [{}]
+        # state << 8 | byte -> next state, token that ends here, whether it is decided, in one number.
+        self.steps: dict[int, int] = {}
 
     def _follows(self, last: int, token: int) -> bool:
         """Whether `token` may stand after `last`; -1 is the start of the piece."""
@@ -93,24 +97,25 @@ class Transducer:
             self.pairs[key] = known
         return known
 
-    def _step(self, state: int, byte: int) -> tuple[int, int, bool]:
-        alive, ended = [], -1
-        for last, node in self.states[state]:
-            to = self.child.get(node << 8 | byte)
+    def _step(self, state: int, byte: int) -> int:
+        alive, ended = array("Q"), -1
+        for hypothesis in array("Q", self.states[state]):
+            to = self.child.get((hypothesis & _NODE) << 8 | byte)
             if to is None:
                 continue
             if to not in self.leaves:
-                alive.append((last, to))
+                alive.append(hypothesis & ~_NODE | to)
             token = self.token_at.get(to)
-            if token is not None and self._follows(last, token):
+            if token is not None and self._follows((hypothesis >> 32) - 1, token):
                 ended = token
-        found = (*alive, (ended, 0))
+        decided = not alive
+        alive.append((ended + 1) << 32)
+        found = alive.tobytes()
         to = self.number.get(found)
         if to is None:
             to = self.number[found] = len(self.states)
             self.states.append(found)
-            self.steps.append({})
-        step = self.steps[state][byte] = to, ended, not alive
+        step = self.steps[state << 8 | byte] = to << 33 | ended << 1 | decided
         return step
 
     def encode(self, piece: bytes) -> list[int]:
@@ -121,21 +126,24 @@ class Transducer:
         if len(self.states) > STATES:
             self._clear()
         ids: list[int] = []
-        open_: list[int] = []  # for each byte since the last emission, the token that may end there
-        state, steps = 0, self.steps
+        open_: list[int] = []  # for each byte since the last emission, the step that it made
+        state, known = 0, self.steps.get
         for byte in piece:
-            state, ended, decided = steps[state].get(byte) or self._step(state, byte)
-            open_.append(ended)
-            if decided:
+            step = known(state << 8 | byte)
+            if step is None:
+                step = self._step(state, byte)
+            state = step >> 33
+            open_.append(step)
+            if step & 1:
                 ids += self._emitted(open_)
                 open_ = []
-        return ids + self._emitted(open_)
+        return ids + self._emitted(open_) if open_ else ids
 
-    def _emitted(self, ended: list[int]) -> list[int]:
+    def _emitted(self, steps: list[int]) -> list[int]:
         """The tokens up to here, found from the last one backwards."""
-        at, ids = len(ended), []
+        at, ids = len(steps), []
         while at:
-            token = ended[at - 1]
+            token = steps[at - 1] >> 1 & _NODE
             ids.append(token)
             at -= len(self.bytes_of[token])
         return ids[::-1]
