@@ -28,6 +28,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from billbook.llm.common import kept
+
 # About 120, 60 and 60 MB.
 STATES = 220_000
 PAIRS = 400_000
@@ -241,25 +243,14 @@ class _Packed(dict):
         return packed
 
 
-_encoders: dict[str, _Packed] = {}
-_decoders: dict[str, StreamDecoder] = {}
-
-
-def _encoder(path: str) -> _Packed:
-    """This worker's transducer of a vocabulary, with its cache."""
-    if path not in _encoders:
-        _encoders[path] = _Packed(Transducer(read_ranks(path)))
-    return _encoders[path]
-
+def _machine(path: str) -> tuple[_Packed, StreamDecoder]:
+    """This worker's transducer of a vocabulary, with its cache, and its decoder."""
 
-def _decoder(path: str) -> StreamDecoder:
-    if path not in _decoders:
-        _decoders[path] = StreamDecoder({rank: token for token, rank in read_ranks(path).items()})
-    return _decoders[path]
+    def make() -> tuple[_Packed, StreamDecoder]:
+        transducer = Transducer(read_ranks(path))
+        return _Packed(transducer), StreamDecoder(transducer.bytes_of)
 
-
-def _with_field(df: DataFrame, name: str, kind: T.DataType) -> T.StructType:
-    return T.StructType([*df.schema.fields, T.StructField(name, kind)])
+    return kept(("bpe", path), make)
 
 
 def encode(docs: DataFrame, path: str, pattern: str, keep: bool = False) -> DataFrame:
@@ -269,23 +260,7 @@ def encode(docs: DataFrame, path: str, pattern: str, keep: bool = False) -> Data
     NULL and empty texts have no ids. Rows with NULL or repeated doc_ids are kept as they are; other
     columns are left out. A text is handled piece by piece, whatever its length.
     """
-    rows = docs.select("doc_id", "text")
-    own = rows if keep else rows.select("doc_id")
-    n, names = len(own.columns), [*own.columns, "ids"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packed = _encoder(path)
-        cut = regex.compile(pattern).finditer
-        for batch in batches:
-            ids = [
-                b"".join([packed[m.group()] for m in cut(text)]) if text else b""
-                for text in map(pa.StringScalar.as_py, batch.column("text"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:n], pa.array(ids, pa.binary())], names
-            )
-
-    return rows.mapInArrow(run, _with_field(own, "ids", T.BinaryType()))
+    return _coded(docs.select("doc_id", "text"), path, pattern, keep, False)
 
 
 def decode(encoded: DataFrame, path: str, keep: bool = False) -> DataFrame:
@@ -293,17 +268,39 @@ def decode(encoded: DataFrame, path: str, keep: bool = False) -> DataFrame:
 
     `keep` keeps text too.
     """
-    rows = encoded.select("doc_id", "ids", *(["text"] if keep else []))
+    return _coded(encoded.select("doc_id", "ids", *(["text"] if keep else [])), path, None, keep, True)
+
+
+def encode_and_decode(docs: DataFrame, path: str, pattern: str, keep: bool = False) -> DataFrame:
+    """`decode` of `encode` in one pass, so that a task needs one Python worker and not two."""
+    return _coded(docs.select("doc_id", "text"), path, pattern, keep, True)
+
+
+def _coded(rows: DataFrame, path: str, pattern: str | None, keep: bool, back: bool) -> DataFrame:
+    names = [c for c in rows.columns if keep or c != "text"]
+    own = T.StructType([rows.schema[c] for c in names])
+    new = [("ids", T.BinaryType())] * (pattern is not None) + [("decoded", T.StringType())] * back
+    schema = T.StructType([*own, *(T.StructField(n, kind) for n, kind in new)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        decoder = _decoder(path)
+        packed, decoder = _machine(path)
+        cut = regex.compile(pattern).finditer if pattern else None
         for batch in batches:
-            texts = [
-                decoder.decode(np.frombuffer(ids, "<u4").tolist()) if ids else ""
-                for ids in map(pa.BinaryScalar.as_py, batch.column("ids"))
-            ]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(texts, pa.string())], [*batch.schema.names, "decoded"]
-            )
-
-    return rows.mapInArrow(run, _with_field(rows, "decoded", T.StringType()))
+            columns = [batch.column(n) for n in names]
+            if cut:
+                texts = map(pa.StringScalar.as_py, batch.column("text"))
+                ids = pa.array(
+                    [b"".join([packed[m.group()] for m in cut(t)]) if t else b"" for t in texts], pa.binary()
+                )
+                columns.append(ids)
+            else:
+                ids = batch.column("ids")
+            if back:
+                decoded = [
+                    decoder.decode(np.frombuffer(i, "<u4").tolist()) if i else ""
+                    for i in map(pa.BinaryScalar.as_py, ids)
+                ]
+                columns.append(pa.array(decoded, pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, schema.names)
+
+    return rows.mapInArrow(run, schema)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import string
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,6 +28,22 @@ def importable(spark: SparkSession) -> None:
         environment["PYTHONPATH"] = os.pathsep.join(filter(None, (known, ROOT)))
 
 
+_kept: dict[object, object] = {}
+
+
+def kept(key: object, make: Callable[[], object]) -> object:
+    """What a Python worker keeps from task to task: the tables of the operator it runs, one at a time."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Drops what another operator's tasks have left in this worker."""
+    _kept.clear()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     importable(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

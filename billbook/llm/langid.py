@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from billbook.llm.common import kept
+
 UNDETERMINED = "und"
 # n-grams whose vectors a worker keeps; the table is emptied when full.
 KEPT = 60_000
@@ -140,13 +142,8 @@ class _Space:
             out[first_owner : first_owner + people] += counts.astype(np.float32) @ vectors
 
 
-_spaces: dict[Profile, _Space] = {}
-
-
 def _space(profile: Profile) -> _Space:
-    if profile not in _spaces:
-        _spaces[profile] = _Space(profile)
-    return _spaces[profile]
+    return kept(("langid", profile), lambda: _Space(profile))
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
-from billbook.llm.common import written
+from billbook.llm.common import release, written
 from billbook.llm.elias_fano import EliasFano
 
 CHUNK_TOKENS = 500_000
@@ -84,6 +84,7 @@ def chunks_of(docs: DataFrame, train: Column, chunk_tokens: int = CHUNK_TOKENS)
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         task, made = TaskContext.get().partitionId(), 0
         ids: list[object] = []
         sizes: list[int] = []

@@ -87,8 +87,8 @@ def op4_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(encoded, path).select(
+    docs = table(spark, sf_dir, "documents")
+    return bpe.encode_and_decode(docs, path, public_tokenizers.PATTERN).select(
         "doc_id",
         (F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from billbook.llm.anchors import runs
 from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
-from billbook.llm.common import written
+from billbook.llm.common import release, written
 from billbook.llm.induced import suffixes
 
 LENGTH = 200
@@ -59,6 +59,7 @@ def chunks_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         task, made = TaskContext.get().partitionId(), 0
         rows: list[pa.Array] = []
         texts: list[bytes] = []
@@ -153,6 +154,7 @@ def _answered(blocks: DataFrame, answer: Callable[[list[bytes]], list[bytes]], n
     """(chunk, shard, answer): what each shard answers to each of its blocks, as a written table."""
 
     def run(group: pa.Table) -> pa.Table:
+        release()
         found = answer([b.as_py() for b in group.column("block")])
         return pa.table(
             {"chunk": group.column("chunk"), "shard": group.column("shard"), "answer": pa.array(found, pa.binary())}
@@ -236,6 +238,7 @@ def deduplicate(
     length: int = LENGTH,
     chunk_bytes: int = CHUNK_BYTES,
     shard_bytes: int = SHARD_BYTES,
+    as_text: bool = False,
 ) -> DataFrame:
     """docs without `text`, and n_bytes, spans (array of first byte and length) and kept (binary).
 
@@ -243,6 +246,7 @@ def deduplicate(
     the same text or another, overlaps included; all strings are judged on the input. `kept` has the
     other bytes of the UTF-8 text. Rows stay as they are, repeated ones and NULL ids too; a repeated row
     is a copy like any other. NULL and empty texts have no bytes. Own columns of the three names give way.
+    `as_text` gives `kept` as a string, without the rest of characters that were cut into.
     """
     chunks = chunks_of(docs, chunk_bytes)
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
@@ -276,7 +280,7 @@ def deduplicate(
     )
     blocks = _mapped(chunks.join(repeated, "chunk", "left"), ["packed", "anchors"], strings, schema)
     windows = _collected(_answered(blocks, lambda b: _repeated_strings(b, length), "strings"), "windows")
-    return _cut(chunks.join(repeated, "chunk", "left").join(windows, "chunk", "left"), length, shards)
+    return _cut(chunks.join(repeated, "chunk", "left").join(windows, "chunk", "left"), length, shards, as_text)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> DataFrame:
@@ -284,30 +288,17 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, **sizes: int) -> Data
 
     All rows stay, also those with nothing left. A NULL text becomes empty.
     """
-    done = deduplicate(docs, length, **sizes).drop("n_bytes", "spans")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [b.as_py().decode("utf-8", "ignore") for b in batch.column("kept")]
-            names = ["text" if n == "kept" else n for n in batch.schema.names]
-            columns = [
-                pa.array(texts, pa.string()) if n == "kept" else c
-                for n, c in zip(batch.schema.names, batch.columns, strict=True)
-            ]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    schema = T.StructType([*(f for f in done.schema if f.name != "kept"), T.StructField("text", T.StringType())])
-    return done.mapInArrow(run, schema)
+    return deduplicate(docs, length, as_text=True, **sizes).drop("n_bytes", "spans").withColumnRenamed("kept", "text")
 
 
-def _cut(asked: DataFrame, length: int, shards: int) -> DataFrame:
+def _cut(asked: DataFrame, length: int, shards: int, as_text: bool) -> DataFrame:
     span = T.StructType([T.StructField("first", T.LongType()), T.StructField("length", T.LongType())])
     schema = T.StructType(
         [
             *asked.schema["rows"].dataType.elementType.fields,
             T.StructField("n_bytes", T.LongType()),
             T.StructField("spans", T.ArrayType(span)),
-            T.StructField("kept", T.BinaryType()),
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
         ]
     )
 
@@ -339,14 +330,15 @@ def _cut(asked: DataFrame, length: int, shards: int) -> DataFrame:
                 parts.append(data[at:a])
                 own.append({"first": a - (end - size), "length": b - a})
                 at = b
-            kept.append(b"".join([*parts, data[at:end]]))
+            rest = b"".join([*parts, data[at:end]])
+            kept.append(rest.decode("utf-8", "ignore") if as_text else rest)
             spans.append(own)
         return pa.RecordBatch.from_arrays(
             [
                 *rows.flatten(),
                 pa.array(chunk.sizes, pa.int64()),
                 pa.array(spans, pa.list_(pa.struct([("first", pa.int64()), ("length", pa.int64())]))),
-                pa.array(kept, pa.binary()),
+                pa.array(kept, pa.string() if as_text else pa.binary()),
             ],
             [*(f.name for f in rows.type), "n_bytes", "spans", "kept"],
         )

@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
+from billbook.llm.common import kept, release
+
 FREQUENT = 65_536
 LONGEST = 32
 FIT_ROWS = 20_000
@@ -170,15 +172,13 @@ class _Lookup(dict):
             return sum(rest[p] if p in rest else self[p] for p in pieces)
 
 
-_lookups: dict[str, _Lookup] = {}
-
-
 def _lookup(table: LengthTable, path: str) -> _Lookup:
     """This worker's tiers; those of an earlier table give way."""
-    if path not in _lookups or _lookups[path].table is not table:
-        _lookups.clear()
-        _lookups[path] = _Lookup(table, path)
-    return _lookups[path]
+    lookup = kept(("token counts", path), lambda: _Lookup(table, path))
+    if lookup.table is not table:
+        release()
+        lookup = kept(("token counts", path), lambda: _Lookup(table, path))
+    return lookup
 
 
 def count_tokens(
