@@ -205,12 +205,16 @@ def _searched(
         x, q = _matrix(own.column("v")), _matrix(other.column("v"))
         owned = own.column("ids").to_pylist()
         numbers, ids, scores = [], [], []
-        take = min(k + 5, len(x))
+        take = min(k + 1, len(x))
+        lengths, error = np.linalg.norm(x, axis=1).max(), 4 * x.shape[1] * np.finfo(np.float64).eps
         for first in range(0, len(q), 256):
             product = q[first : first + 256] @ x.T
-            near = np.argpartition(-product, take - 1, axis=1)[:, :take]
-            exact = (x[near] * q[first : first + 256, None, :]).sum(axis=2)
-            for i, (places, values) in enumerate(zip(near, exact.tolist(), strict=True)):
+            border = -np.partition(-product, take - 1, axis=1)[:, take - 1]
+            # All that may tie with the last: both products are off by a few units of the terms' sizes.
+            slack = error * lengths * np.linalg.norm(q[first : first + 256], axis=1)
+            for i in range(len(product)):
+                places = np.nonzero(product[i] >= border[i] - slack[i])[0]
+                values = (x[places] * q[first + i]).sum(axis=1).tolist()
                 query = other.column("query_id")[first + i].as_py()
                 pairs = sorted(
                     (-value, vec) for place, value in zip(places.tolist(), values, strict=True)

@@ -51,6 +51,17 @@ def test_copies_blocks_and_invalid_vectors(spark):
     assert searched(spark, rows, 20, index) == brute(valid, [0, 20, 40, 100, 120, 140], 20)
 
 
+def test_ties_at_the_border_of_a_block(spark):
+    # 400 different vectors have the same product with the query; the smallest ids are last in no order.
+    rng = np.random.default_rng(4)
+    codes = {tuple(c) for c in rng.integers(0, 2, (2000, 12))}
+    vectors = [np.array([1.0, *c, *[1 - x for x in c]]) for c in sorted(codes)][:400]
+    rows = [(20 * 400, np.eye(25)[0])] + [(20 * int(i) + 1, v) for i, v in zip(rng.permutation(400), vectors, strict=True)]
+    index = ann.CrossPolytope(tables=1, probes=1.0)
+    found = searched(spark, rows, 20, index)
+    assert [i for i, _ in found[8000]] == [20 * i + 1 for i in range(20)]
+
+
 def test_fewer_candidates_than_asked(spark):
     rows = [(i, np.eye(16)[i % 16]) for i in (0, 1, 2, 20)]
     found = searched(spark, rows, 20, ann.CrossPolytope(tables=1, probes=0.0))
