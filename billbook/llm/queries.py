@@ -8,9 +8,9 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import ann, bpe, chat, decontaminate, langid, lm, repeats, simhash, token_counts, url_filter
+from billbook.llm import ann, bpe, chat, decontaminate, langid, lm, merkle, repeats, simhash, token_counts, url_filter
 from billbook.llm.common import table
-from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_URL_FILTER
+from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_MERKLE, SQL_URL_FILTER
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -135,6 +135,21 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (_fold(3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's proof, checked after one was added to n_chars of those that the fold picks."""
+    docs = table(spark, sf_dir, "documents")
+    record = lambda n: merkle.record_digest([F.col(c) for c in ("doc_id", "source", "lang")] + [n, F.col("text")])
+    more = F.col("n_chars").cast("decimal(20,0)") + 1
+    leaves = docs.select(
+        "doc_id", "lang", record(F.col("n_chars")).alias("leaf"), F.when(_fold(7) == 0, record(more)).alias("tampered")
+    )
+    found = merkle.manifest(leaves, "lang", "doc_id", "leaf", ["tampered"])
+    return found.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(F.coalesce("tampered", "leaf"), F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_decontamination": op2_decontamination,
@@ -146,10 +161,12 @@ QUERIES: dict[str, Query] = {
     "op8_simhash": op8_simhash,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
+    "op11_merkle_manifest": op11_merkle_manifest,
 }
 
 ORACLE: dict[str, str] = {
     "op1_chat_formatting": SQL_CHAT,
     "op2_decontamination": SQL_DECONTAMINATION,
     "op3_url_filter": SQL_URL_FILTER,
+    "op11_merkle_manifest": SQL_MERKLE,
 }

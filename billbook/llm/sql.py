@@ -90,3 +90,68 @@ select c.page_id, host, strftime(fetched_at, '%Y-%m-%d %H:%M:%S.%f') as fetched_
     strftime(valid_from, '%Y-%m-%d %H:%M:%S.%f') as listed_since
 from captures c left join best b on c.page_id = b.page_id
 """
+
+# CRC-32 of a decimal number's digits, a bit at a time.
+_CRC32 = (
+    "xor(list_reduce(list_transform(string_split(cast({0} as varchar), ''), lambda d: cast(ascii(d) as bigint)), "
+    "lambda crc, byte: list_reduce(range(8), lambda r, i: case when r & 1 = 1 then xor(r >> 1, 3988292384) "
+    "else r >> 1 end, xor(crc, byte)), 4294967295), 4294967295)"
+)
+_ENCODED = "coalesce(strlen(cast({0} as varchar)) || ':' || cast({0} as varchar), '-')"
+
+
+def _record(n_chars: str) -> str:
+    return "sha256(" + " || ".join(_ENCODED.format(c) for c in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+# A step is a sibling's digest, L or R by the side where it stands, or N where there is none.
+SQL_MERKLE = f"""
+with recursive leaves as (
+    select doc_id, lang, {_record("n_chars")} as leaf,
+        case when {_CRC32.format("doc_id")} % 7 = 0 then {_record("(cast(n_chars as decimal(20,0)) + 1)")}
+            else {_record("n_chars")} end as changed
+    from documents
+), placed as (
+    select *, row_number() over (partition by lang order by doc_id nulls first, leaf) - 1 as pos,
+        count(*) over (partition by lang) as n
+    from leaves
+), lower as (
+    select lang, 0 as level, pos, leaf as digest, n from placed
+    union all
+    select lang, level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (n + 1) // 2
+    from lower where n > 1 group by lang, level, pos // 2, n
+), subroots as (
+    select lang, digest as subroot, level as height, row_number() over (order by lang nulls first) - 1 as pos,
+        count(*) over () as n
+    from lower where n = 1
+), upper as (
+    select 0 as level, pos, subroot as digest, n from subroots
+    union all
+    select level + 1, pos // 2, sha256(string_agg(digest, '' order by pos)), (n + 1) // 2
+    from upper where n > 1 group by level, pos // 2, n
+), root as (select digest as root, level as height from upper where n = 1),
+upper_steps as (
+    select s.lang, list(coalesce(case when (s.pos >> t.l) & 1 = 1 then 'L' else 'R' end || u.digest, 'N') order by t.l) as steps
+    from subroots s, root r, (select unnest(range(64)) as l) t
+    left join upper u on u.level = t.l and u.pos = xor(s.pos >> t.l, 1)
+    where t.l < r.height group by s.lang
+), lower_steps as (
+    select p.lang, p.pos,
+        list(coalesce(case when (p.pos >> t.l) & 1 = 1 then 'L' else 'R' end || w.digest, 'N') order by t.l) as steps
+    from placed p join subroots s on p.lang is not distinct from s.lang, (select unnest(range(64)) as l) t
+    left join lower w on w.lang is not distinct from p.lang and w.level = t.l and w.pos = xor(p.pos >> t.l, 1)
+    where t.l < s.height group by p.lang, p.pos
+), paths as (
+    select p.*, s.subroot, r.root, list_concat(coalesce(a.steps, []), coalesce(b.steps, [])) as steps
+    from placed p join subroots s on p.lang is not distinct from s.lang cross join root r
+    left join lower_steps a on a.lang is not distinct from p.lang and a.pos = p.pos
+    left join upper_steps b on b.lang is not distinct from p.lang
+), done as (
+    select *, list_reduce(steps, lambda d, s: sha256(
+        case s[1] when 'L' then s[2:] || d when 'R' then d || s[2:] else d end), changed) as folded_root
+    from paths
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(list_aggregate(list_transform(steps, lambda s: s[2:]), 'string_agg', ''), ''))
+    as proof_sha256, folded_root, folded_root = root as verified
+from done
+"""
