@@ -8,9 +8,11 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from billbook.llm import ann, bpe, chat, decontaminate, langid, lm, merkle, repeats, simhash, token_counts, url_filter
+from billbook.llm import (
+    ann, bpe, chat, decontaminate, langid, line_dedup, lm, merkle, prefix_trie, repeats, simhash, token_counts, url_filter,
+)
 from billbook.llm.common import table
-from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_MERKLE, SQL_URL_FILTER
+from billbook.llm.sql import SQL_CHAT, SQL_DECONTAMINATION, SQL_LINE_DEDUP, SQL_MERKLE, SQL_PREFIX_TRIE, SQL_URL_FILTER
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,8 +104,8 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 512)
 
 
-def _fold(folds: int) -> Column:
-    return F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(folds))
+def _fold(folds: int, column: str = "doc_id") -> Column:
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(folds))
 
 
 def op7_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -150,6 +152,21 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all conversations, each with up to three first turns of one in twenty."""
+    turns = prefix_trie.numbered_turns(table(spark, sf_dir, "conversations"))
+    base = F.col("conv_id") - F.col("conv_id") % 20
+    found = prefix_trie.prefix_trie(prefix_trie.rebuilt(turns, base, _fold(4, "conv_id"), 3))
+    return found.withColumnRenamed("saved_words", "saved_tokens")
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    marked = line_dedup.with_marks(docs, line_dedup.line_marks(docs))
+    kept = line_dedup.kept_text(F.col("text"), F.col("keep"))
+    return marked.select("doc_id", "n_lines", "n_dropped", F.sha2(kept, 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_decontamination": op2_decontamination,
@@ -162,6 +179,8 @@ QUERIES: dict[str, Query] = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_language_id": op10_language_id,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_prefix_trie": op12_prefix_trie,
+    "op13_line_dedup": op13_line_dedup,
 }
 
 ORACLE: dict[str, str] = {
@@ -169,4 +188,6 @@ ORACLE: dict[str, str] = {
     "op2_decontamination": SQL_DECONTAMINATION,
     "op3_url_filter": SQL_URL_FILTER,
     "op11_merkle_manifest": SQL_MERKLE,
+    "op12_prefix_trie": SQL_PREFIX_TRIE,
+    "op13_line_dedup": SQL_LINE_DEDUP,
 }

@@ -155,3 +155,55 @@ select doc_id, leaf, subroot, root, sha256(coalesce(list_aggregate(list_transfor
     as proof_sha256, folded_root, folded_root = root as verified
 from done
 """
+
+SQL_PREFIX_TRIE = rf"""
+with turns as (
+    select conv_id, coalesce(role, '') as role, coalesce(text, '') as text,
+        row_number() over (partition by conv_id order by turn nulls first, coalesce(role, ''), sha256(coalesce(text, ''))) as place
+    from conversations where conv_id is not null
+), plans as (
+    select distinct conv_id, conv_id - conv_id % 20 as base, {_CRC32.format("conv_id")} % 4 as head from turns
+), rebuilt as (
+    select p.conv_id, place, {{'role': role, 'text': text}} as turn from plans p join turns t on t.conv_id = base and place <= head
+    union all
+    select p.conv_id, place, {{'role': role, 'text': text}} from plans p join turns t on t.conv_id = p.conv_id and place > head
+), sequences as (
+    select p.conv_id, coalesce(list(turn order by place) filter (where place is not null), []) as turns
+    from plans p left join rebuilt r on r.conv_id = p.conv_id group by p.conv_id
+), prefixes as (
+    select conv_id, len(turns) as whole, depth, turns[1:depth] as node
+    from (select *, unnest(range(len(turns) + 1)) as depth from sequences)
+), nodes as (
+    select node, depth, min(conv_id) as conv_id, count(*) as n_convs,
+        sha256(coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where whole = depth), '')) as ends_sha256,
+        (count(*) - 1) * case when depth = 0 then 0 else len(regexp_extract_all(node[depth].text, '[^\x20\x09-\x0D]+')) end as share
+    from prefixes group by node, depth
+), families as (
+    select n.node, any_value(p.conv_id) as parent_conv_id, count(distinct c.node) as n_children
+    from nodes n left join nodes p on p.depth = n.depth - 1 and p.node = n.node[1:n.depth - 1]
+    left join nodes c on c.depth = n.depth + 1 and c.node[1:n.depth] = n.node
+    group by n.node
+), subtrees as (
+    select n.node, count(*) filter (where f.n_children = 0) as n_leaves, cast(sum(d.share) as bigint) as saved_tokens
+    from nodes n join nodes d on d.depth >= n.depth and d.node[1:n.depth] = n.node join families f on f.node = d.node
+    group by n.node
+)
+select n.conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+from nodes n join families f on f.node = n.node join subtrees s on s.node = n.node
+"""
+
+SQL_LINE_DEDUP = f"""
+with lines as (
+    select doc_id, unnest(range(1, len(parts) + 1)) as place, unnest(parts) as line
+    from (select doc_id, string_split(coalesce(text, ''), chr(10)) as parts from documents)
+), keyed as (
+    select *, {_LOWER.format("trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))")} as key from lines
+), frequent as (
+    select key, max(doc_id) as holder from keyed where length(key) >= 40 group by key having count(distinct doc_id) >= 5
+), marked as (
+    select k.*, holder is not null and holder <> doc_id as gone from keyed k left join frequent f on f.key = k.key
+)
+select doc_id, count(*) as n_lines, count(*) filter (where gone) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by place) filter (where not gone), '')) as kept_sha256
+from marked group by doc_id
+"""

@@ -1,0 +1,123 @@
+"""Line dedup against a plain reading of its rule, and its stream cut at every place."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from billbook.llm import line_dedup
+
+COLUMNS = "doc_id bigint, text string, n_lines string, keep int"
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def key(line):
+    return line.strip(" \t\n\x0b\x0c\r").translate(LOWER)
+
+
+def expected(docs, min_chars, min_docs):
+    holders = defaultdict(set)
+    for doc, text in docs:
+        for line in (text or "").split("\n"):
+            holders[key(line)].add(-1 if doc is None else doc)
+    gone = {k: max(d) for k, d in holders.items() if len(k) >= min_chars and len(d) >= min_docs}
+    out = []
+    for doc, text in docs:
+        lines = (text or "").split("\n")
+        kept = [x for x in lines if gone.get(key(x), doc) == (-1 if doc is None else doc) or key(x) not in gone]
+        out.append((doc, len(lines), len(lines) - len(kept), "\n".join(kept)))
+    return sorted(out, key=str)
+
+
+def found(spark, docs, min_chars, min_docs, partitions=None):
+    df = spark.createDataFrame([(d, t, "clash", 7) for d, t in docs], COLUMNS)
+    if partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+    try:
+        marked = line_dedup.with_marks(df, line_dedup.line_marks(df, min_chars, min_docs))
+        kept = line_dedup.kept_text(F.col("text"), F.col("keep")).alias("kept")
+        return sorted(map(tuple, marked.select("doc_id", "n_lines", "n_dropped", kept).collect()), key=str)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(0, 9)),
+    st.one_of(st.none(), st.lists(st.sampled_from(["aa", "AA ", "\taa\r", "b", "é é", "Éa", ""]), max_size=6).map("\n".join)),
+), max_size=25))
+def test_any_documents(spark, docs):
+    assert found(spark, docs, 2, 3) == expected(docs, 2, 3)
+
+
+def test_a_line_of_most_rows_over_many_partitions(spark):
+    rng = random.Random(5)
+    docs = [(i, "\n".join(["Common line"] * rng.randint(1, 3) + [f"line {rng.randint(0, 60)}"] * 2)) for i in range(400)]
+    assert found(spark, docs, 5, 5, 23) == expected(docs, 5, 5)
+
+
+def test_repeated_rows_are_one_document(spark):
+    docs = [(1, "same\nown 1")] * 6 + [(2, "same\nown 2"), (2, "same")]
+    assert found(spark, docs, 3, 3) == expected(docs, 3, 3) == sorted([(d, t.count("\n") + 1, 0, t) for d, t in docs], key=str)
+    assert found(spark, docs, 3, 2) == expected(docs, 3, 2)
+
+
+def test_empty_table_empty_and_long_texts(spark):
+    assert found(spark, [], 1, 1) == []
+    long = "\n".join(f"line number {i % 3000}" for i in range(60_000))
+    docs = [(1, None), (2, ""), (3, long), (4, long + "\nlast"), (5, "line number 7\n")]
+    assert found(spark, docs, 5, 2) == expected(docs, 5, 2)
+
+
+def test_code_points_count_and_only_blanks_are_stripped(spark):
+    docs = [(i, "é" * 40 + "\n" + "e" * 39 + "\n " + "x" * 39 + "\n " + "A" * 40 + "\t") for i in range(5)]
+    assert found(spark, docs, 40, 5) == expected(docs, 40, 5)
+    assert [r[2] for r in found(spark, docs, 40, 5)].count(3) == 4
+
+
+def streamed(rows, cuts, parts, min_docs):
+    """Lines that go, by the stream over partitions cut at `parts` and batches cut at `cuts`."""
+    schema = pa.schema([("h1", pa.int64()), ("h2", pa.int64()), ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("line", pa.int32()), ("part", pa.int32())])
+    dropped, opened, summaries = [], [], []
+    for p, (lo, hi) in enumerate(zip([0, *parts], [*parts, len(rows)])):
+        own = [c for c in cuts if lo < c < hi]
+        batches = [
+            pa.RecordBatch.from_pylist([dict(zip(schema.names, (*r, p))) for r in rows[a:b]], schema)
+            for a, b in zip([lo, *own], [*own, hi])
+        ]
+        for batch in line_dedup.stream_lines(batches, min_docs):
+            for r in batch.to_pylist():
+                [dropped, opened, summaries][r["kind"]].append(r)
+    assert len(summaries) <= 2 * (len(parts) + 1)
+    return dropped, opened, summaries
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_stream_cut_anywhere(spark, seed):
+    rng = random.Random(seed)
+    keys = rng.choices(range(6), [1, 1, 2, 3, 8, 20], k=160)
+    rows = sorted({(k, -k, rng.choice([None, *range(12)]), 5, i) for i, k in enumerate(keys)}, key=lambda r: (r[0], r[2] is None, -(r[2] or 0), r[4]))
+    cuts = sorted(rng.sample(range(1, len(rows)), 30))
+    parts = sorted(rng.sample(range(1, len(rows)), 9))
+    dropped, opened, summaries = streamed(rows, cuts, parts, 5)
+    gone = {(r["h1"], r["line"]) for r in dropped}
+    if summaries:
+        frame = spark.createDataFrame(summaries, line_dedup.STREAM)
+        holders = {r.h1: r.holder for r in line_dedup._decided(frame, 5).collect()}
+        gone |= {(r["h1"], r["line"]) for r in opened if r["h1"] in holders and r["doc_id"] != holders[r["h1"]]}
+    docs = defaultdict(set)
+    for h1, _, doc, _, _ in rows:
+        docs[h1].add(-1 if doc is None else doc)
+    assert gone == {(h1, line) for h1, _, doc, _, line in rows if len(docs[h1]) >= 5 and max(docs[h1]) != (-1 if doc is None else doc)}
+
+
+def test_bitmaps():
+    for dropped in ([], [0], [3, 9], list(range(1000))):
+        keep = line_dedup.packed(np.array(dropped, np.int64))
+        assert np.flatnonzero(~line_dedup.unpacked(keep, 1003)).tolist() == dropped
+    assert len(line_dedup.packed(np.arange(100_000))) < 200

@@ -1,0 +1,110 @@
+"""The trie against one built from whole sequences in plain Python."""
+
+import hashlib
+import random
+import re
+
+import pyarrow as pa
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from billbook.llm import prefix_trie
+
+COLUMNS = "conv_id bigint, turn bigint, role string, text string, place string, words int"
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+
+
+def sequences_of(rows, base=None, head=None):
+    own = {}
+    for conv, turn, role, text in rows:
+        if conv is not None:
+            own.setdefault(conv, []).append((turn is not None, turn or 0, role or "", sha(text or ""), text or ""))
+    own = {c: [(r, x) for _, _, r, _, x in sorted(t)] for c, t in own.items()}
+    if base is None:
+        return own
+    return {c: own.get(base(c), [])[:head(c)] + t[head(c):] for c, t in own.items()}
+
+
+def expected(sequences):
+    members = {}
+    for conv, turns in sequences.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(tuple(turns[:d]), []).append(conv)
+    children = {}
+    for node in members:
+        if node:
+            children.setdefault(node[:-1], []).append(node)
+    out = []
+    for node, convs in members.items():
+        below = [n for n in members if n[:len(node)] == node]
+        ends = sorted(c for c in convs if len(sequences[c]) == len(node))
+        out.append((
+            min(convs), len(node), min(members[node[:-1]]) if node else None, len(convs), len(children.get(node, [])),
+            sum(n not in children for n in below),
+            sum((len(members[n]) - 1) * len(WORD.findall(n[-1][1])) for n in below if n),
+            sha(",".join(map(str, ends))),
+        ))
+    return sorted(out, key=str)
+
+
+def found(spark, rows, base=None, head=None):
+    df = spark.createDataFrame([(*r, "clash", 3) for r in rows], COLUMNS)
+    turns = prefix_trie.numbered_turns(df)
+    if base is not None:
+        turns = prefix_trie.rebuilt(turns, base, head, 2)
+    return sorted(map(tuple, prefix_trie.prefix_trie(turns).collect()), key=str)
+
+
+rows = st.lists(st.tuples(
+    st.one_of(st.none(), st.integers(-3, 9)), st.one_of(st.none(), st.integers(0, 3)),
+    st.sampled_from([None, "", "user", "u"]), st.sampled_from([None, "", "a b", "ser", "\t c\n"]),
+), max_size=40)
+
+
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows)
+def test_any_rows(spark, given_rows):
+    assert found(spark, given_rows) == expected(sequences_of(given_rows))
+
+
+@settings(max_examples=3, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows)
+def test_rebuilt_from_a_base(spark, given_rows):
+    got = found(spark, given_rows, F.col("conv_id") - F.pmod("conv_id", F.lit(3)), F.pmod("conv_id", F.lit(3)))
+    assert got == expected(sequences_of(given_rows, lambda c: c - c % 3, lambda c: c % 3))
+
+
+def test_no_rows(spark):
+    assert found(spark, []) == []
+
+
+def test_only_the_root(spark):
+    got = found(spark, [(5, 1, "user", "x")], F.lit(99).cast("long"), F.lit(1))
+    assert got == [(5, 0, None, 1, 0, 1, 0, sha("5"))]
+
+
+def test_crowds_of_copies_and_children(spark, monkeypatch):
+    monkeypatch.setattr(prefix_trie, "CROWDED", 20)  # both ways to a parent's conversation
+    rng = random.Random(3)
+    rows = [(i, t, "user", "common first turn" if t == 0 else f"w {i % 60} {t}") for i in range(300) for t in range(1 + i % 3)]
+    rows += [(1000 + i, t, "user", f"same {t}") for i in range(200) for t in range(3)]
+    rng.shuffle(rows)
+    assert found(spark, rows) == expected(sequences_of(rows))
+
+
+def test_a_long_conversation_and_a_long_text(spark):
+    rows = [(1, i, "user", f"turn {i}") for i in range(300)] + [(2, 0, "user", "turn 0"), (2, 1, "a", "w " * 200_000), (3, 0, "user", "turn 0"), (3, 1, "a", "w " * 200_000)]
+    assert found(spark, rows) == expected(sequences_of(rows))
+
+
+@pytest.mark.parametrize("n", [1, 2, 3, 7])
+def test_end_lists_of_any_size(spark, monkeypatch, n):
+    monkeypatch.setattr(prefix_trie, "ENDS_OF_A_TEXT", n)
+    schema = pa.schema([("node", "binary"), ("conv_id", "int64")])
+    ends = [(b"a", i) for i in range(-3, 11)] + [(b"b", 4)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(schema.names, e)) for e in part], schema) for part in (ends[:5], ends[5:])]
+    got = {r["node"]: r["ends_sha256"] for b in prefix_trie.hashed_ends(prefix_trie.end_lists(batches)) for r in b.to_pylist()}
+    assert got == {b"a": sha(",".join(map(str, range(-3, 11)))), b"b": sha("4")}
