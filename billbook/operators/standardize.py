@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from billbook.config import AS_WRITTEN, INTENDED, check_mode, check_run_ts
 from billbook.functions import text
-from billbook.schema import INVOICE_KEYS
+from billbook.schema import INVOICE_KEYS, LINE, REJECTS
 
 # Fixed values of `as_written`: a date pattern whose `mm` is minutes, so that
 # every month reads as January, and an id window two characters wide.
@@ -66,7 +66,16 @@ def has_keys(keys: Sequence[str]) -> Column:
     return test
 
 
+MALFORMED = "linha malformada"
+
+
 def rejects(df: DataFrame, keys: Sequence[str] = INVOICE_KEYS) -> DataFrame:
     """Rows that no book can use, with the reason in `motivo`: a key is NULL, or the month is."""
     reason = F.when(~has_keys(keys), "sem chave").when(F.col("ref").isNull(), "sem mes")
     return df.withColumn("motivo", reason).where(F.col("motivo").isNotNull())
+
+
+def rejected_lines(lines: DataFrame, name: str, run_ts: str | Column) -> DataFrame:
+    """Malformed lines (`LINE`,) as rejects of the raw table `name`: their text, and NULL for the values."""
+    known = {"dt_proc": _run(run_ts), "motivo": F.lit(MALFORMED), LINE: F.col(LINE)}
+    return lines.select(*[known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in REJECTS[name]])

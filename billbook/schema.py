@@ -22,6 +22,9 @@ INGESTION = {
     ),
 }
 
+# Text of a line that could not be read as a row.
+LINE = "linha"
+
 # Raw zone: Parquet, one directory per run and month. A month that is none is NULL.
 RAW = {
     "faturas": T.StructType([
@@ -45,6 +48,12 @@ RAW = {
     ]),
 }
 
+# Rejects of a raw table: its columns, the reason, and the text of a malformed line, whose columns are NULL.
+REJECTS = {
+    name: T.StructType([*columns, T.StructField("motivo", T.StringType()), T.StructField(LINE, T.StringType())])
+    for name, columns in RAW.items()
+}
+
 STAGE = T.StructType([
     T.StructField("id_cliente", T.LongType()),
     T.StructField("dt_proc", T.StringType()),

@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from billbook.config import Zones, month_bounds
 from billbook.plans.book import book_schema
 from billbook.plans.spec import BookSpec
-from billbook.schema import RAW, STAGE
+from billbook.schema import RAW, REJECTS, STAGE
+from billbook.sources.folders import subfolders
 
 
 def read_raw(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
@@ -21,11 +22,19 @@ def read_raw(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
 
 
 def read_rejects(spark: SparkSession, zones: Zones, table: str) -> DataFrame:
-    """Rows of a raw table that no book can use, as `load_job` wrote them, with the reason."""
-    schema = T.StructType([*RAW[table], T.StructField("motivo", T.StringType())])
+    """What no book can use, as `load_job` wrote it, with the reason: rows of a raw table, and malformed lines.
+
+    A malformed line has its text in `LINE`, and is not in the raw table.
+    """
+    schema = REJECTS[table]
     return spark.read.schema(schema).parquet(zones.rejects(table)).select(*schema.names)
 
 
+def raw_runs(spark: SparkSession, zones: Zones, table: str) -> list[str]:
+    """Runs that have a directory in a raw table, in order of time."""
+    return [d.removeprefix("dt_proc=") for d in subfolders(spark, zones.raw(table)) if d.startswith("dt_proc=")]
+
+
 def in_months(df: DataFrame, first: int, last: int) -> DataFrame:
     """Months `first` to `last`, both inclusive. Prunes directories when `ref` partitions them."""
     return df.where(F.col("ref").between(first, last))

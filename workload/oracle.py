@@ -73,6 +73,23 @@ txt as (
   from ord
 )"""
 
+# Lines of the extract; kinds 0 to 3 are malformed.
+LINES = TEXT + """,
+lin as (
+  select *, f1 || ',' || f2 || ',' || case kind
+      when 0 then f3 || ',' || f4 || ',' || replace(f5, '.', ',') || ',' || replace(f6, '.', ',')
+      when 1 then f3
+      when 2 then '"' || f3 || ',' || f4 || ',' || f5 || ',' || f6
+      when 3 then f3 || ',' || f4 || ',' || f5 || ',"' || f6
+    end as linha
+  from (
+    select *, id_fatura as f1, coalesce(id_cliente, '') as f2, data_emissao as f3, data_vencimento as f4,
+           valor_fatura as f5, valor_pagamento_minimo as f6,
+           cast(regexp_extract(id_fatura, '[0-9]+') as bigint) % 11 as kind
+    from txt
+  )
+)"""
+
 INV_SHOWN = """id_fatura, id_cliente, dt_proc,
   strftime(data_emissao, '%Y-%m-%d') as data_emissao,
   strftime(data_vencimento, '%Y-%m-%d') as data_vencimento,
@@ -319,8 +336,8 @@ def _control(table: str, runs: str) -> str:
     )
 
 
-def _standardized(number: str, issued: str, due: str, run: str = RUN) -> str:
-    return f"""with {TEXT}
+def _standardized(number: str, issued: str, due: str, run: str = RUN, source: str = "txt") -> str:
+    return f"""with {LINES}
 select {number} as id_fatura,
        try_cast(id_cliente as bigint) as id_cliente,
        '{run}' as dt_proc,
@@ -329,7 +346,19 @@ select {number} as id_fatura,
        strftime({due}, '%Y-%m-%d') as data_vencimento,
        cast(cast(valor_fatura as decimal(15,2)) as double) as valor_fatura,
        cast(cast(valor_pagamento_minimo as decimal(15,2)) as double) as valor_pagamento_minimo
-from txt"""
+from {source}"""
+
+
+def _rejected_rows(source: str, run: str) -> str:
+    """Rows of a text table without a key, as rejects."""
+    return _standardized(
+        "try_cast(split_part(id_fatura, '-', 2) as bigint)",
+        "try_cast(data_emissao as date)",
+        "try_cast(data_vencimento as date)", run, source,
+    )
+
+
+NO_KEY = "id_cliente is null or id_fatura is null"
 
 
 def _january(column: str) -> str:
@@ -412,6 +441,23 @@ from e full join p using (ref)""",
         "try_cast(data_emissao as date)",
         "try_cast(data_vencimento as date)",
     ) + ") where id_cliente is null or id_fatura is null",
+    "rejected_lines": f"""select *, 'sem chave' as motivo, cast(null as varchar) as linha
+from ({_rejected_rows("lin where kind > 3", LOAD_1)}) where {NO_KEY}
+union all by name
+select '{LOAD_1}' as dt_proc, 'linha malformada' as motivo, linha from (with {LINES} select linha from lin where kind <= 3)""",
+    "loaded_lines": _rejected_rows("lin where kind > 3", LOAD_1),
+    "rejected_lines_audit": f"""with {LINES}
+select 'faturas' as tb_name, '{LOAD_1}' as dt_proc, count(*) filter (where kind > 3) as qtd_registros,
+       count(*) filter (where kind <= 3 or id_cliente is null or not contains(id_fatura, '-')) as qtd_rejeitados,
+       count(*) as linhas
+from lin""",
+    "rejected_after_overwrite": f"""select *, 'sem chave' as motivo, cast(null as varchar) as linha
+from ({_rejected_rows("txt", LOAD_2)}) where {NO_KEY}""",
+    "daily_load_stream_rejects": f"""with {LINES}
+select 'faturas' as tb_name, dt_proc, count(*) filter (where kind > 3) as qtd_registros,
+       count(*) filter (where kind <= 3 or id_cliente is null or not contains(id_fatura, '-')) as qtd_rejeitados,
+       count(*) filter (where kind <= 3) as malformadas
+from lin, (values ('{LOAD_1}'), ('{LOAD_2}')) t(dt_proc) group by dt_proc""",
     "invoice_payment_join": _show(
         """id_fatura, id_cliente, strftime(data_emissao, '%Y-%m-%d') as data_emissao,
   strftime(data_vencimento, '%Y-%m-%d') as data_vencimento,

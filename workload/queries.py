@@ -20,10 +20,10 @@ from billbook.plans.stage import (
 )
 from billbook.session import scratch_dir
 from billbook.sinks.lake import replace_months, write_month, write_months, write_raw
-from billbook.schema import CONTROL, INVOICE_KEYS
-from billbook.sources.ingestion import extract_snapshot, read_ingestion
+from billbook.schema import CONTROL, INVOICE_KEYS, LINE
+from billbook.sources.ingestion import extract_snapshot, read_ingestion, read_lines
 from billbook.sources.lake import in_months, read_look_back, read_raw, read_rejects, read_stage, register_zones
-from billbook.streaming.daily_load import audit_arrivals, load_arrivals
+from billbook.streaming.daily_load import audit_arrivals, load_arrivals, reject_arrivals
 from workload import billing
 from workload.billing import LOADS, REF_DATE, RUN_TS
 
@@ -197,9 +197,53 @@ def rejected_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
     zones = _fresh(spark)
     extract_snapshot(billing.invoice_text(spark, sf_dir), zones, "tb_faturas", LOADS[0])
     load_job(spark, zones, "tb_faturas", RUN_TS)
+    return present(read_rejects(spark, zones, "faturas").drop(LINE))
+
+
+def _lines_loaded(spark: SparkSession, sf_dir: str, run_ts: str = LOADS[0], zones: Zones | None = None) -> Zones:
+    zones = zones or _fresh(spark)
+    billing.write_lines(billing.invoice_lines(spark, sf_dir), zones.ingestion_run("tb_faturas", run_ts))
+    load_job(spark, zones, "tb_faturas", run_ts, snapshot_ts=run_ts)
+    return zones
+
+
+def rejected_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rejects of a snapshot with malformed lines: those lines, and rows without a key."""
+    return present(read_rejects(spark, _lines_loaded(spark, sf_dir), "faturas"))
+
+
+def loaded_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What such a snapshot leaves in the raw table."""
+    return present(read_raw(spark, _lines_loaded(spark, sf_dir), "faturas"))
+
+
+def rejected_lines_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of the snapshot are rows loaded and malformed lines; the latter count as rejected."""
+    zones = _lines_loaded(spark, sf_dir)
+    lines = read_lines(spark, zones, "tb_faturas").agg(F.count(F.lit(1)).alias("linhas"))
+    return spark.read.schema(CONTROL).parquet(zones.control("faturas")).join(F.broadcast(lines))
+
+
+def rejected_after_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rejects after a load that replaces the table: none of the load before."""
+    zones = _lines_loaded(spark, sf_dir)
+    extract_snapshot(billing.invoice_text(spark, sf_dir), zones, "tb_faturas", LOADS[1])
+    load_job(spark, zones, "tb_faturas", LOADS[1], write_mode="overwrite")
     return present(read_rejects(spark, zones, "faturas"))
 
 
+def daily_load_stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days of arrivals with malformed lines in two calls: per run, what the audit and the rejects say."""
+    zones = _fresh(spark)
+    for run_ts in LOADS[:2]:
+        billing.write_lines(billing.invoice_lines(spark, sf_dir), zones.ingestion_run("tb_faturas", run_ts))
+        for stream in (load_arrivals, reject_arrivals):
+            stream(spark, zones, "tb_faturas").awaitTermination()
+        audit_arrivals(spark, zones, "tb_faturas")
+    lines = read_rejects(spark, zones, "faturas").groupBy("dt_proc").agg(F.count(LINE).alias("malformadas"))
+    return spark.read.schema(CONTROL).parquet(zones.control("faturas")).join(lines, "dt_proc")
+
+
 def _joined(spark: SparkSession, sf_dir: str, mode: str = INTENDED) -> DataFrame:
     return latest_joined(
         _raw(spark, sf_dir, "faturas"), _raw(spark, sf_dir, "pagamentos"), mode
@@ -371,6 +415,11 @@ QUERIES: dict[str, Query] = {
     "dedup_invoices_as_written": dedup("faturas", AS_WRITTEN),
     "dedup_payments_as_written": dedup("pagamentos", AS_WRITTEN),
     "rejected_invoices": rejected_invoices,
+    "rejected_lines": rejected_lines,
+    "loaded_lines": loaded_lines,
+    "rejected_lines_audit": rejected_lines_audit,
+    "rejected_after_overwrite": rejected_after_overwrite,
+    "daily_load_stream_rejects": daily_load_stream_rejects,
     "invoice_payment_join_salted": invoice_payment_join_salted,
     "dedup_payments_salted": dedup_payments_salted,
     "invoice_payment_join": invoice_payment_join,
