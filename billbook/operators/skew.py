@@ -25,6 +25,11 @@ COPIED = "_copied"
 # About 1 GB of payment rows.
 ROWS_PER_TASK = 10_000_000
 
+# A task's frequent-items sketch: what Spark admits at most, and how many times the inverse of its size a key's
+# share of the task's rows can be without being told from noise (twice the sketch's error of 3.5).
+LARGEST_SKETCH = 1_000_000
+UNSEEN = 7
+
 
 def find_hot_keys(
     df: DataFrame,
@@ -34,20 +39,48 @@ def find_hot_keys(
 ) -> DataFrame:
     """(*keys, rows, latest): every key with more than `rows_per_task` rows; NULL keys are left out.
 
-    Counts are exact. The key columns are aggregated before they are shuffled, so a hot key is one row
-    per task. A table of no more rows than that, which Parquet tells from its footers, has no such key.
-    `latest` is the greatest version number of the key.
+    Counts are exact, and only rows of `candidates` are counted: those keys are few, and one row per task after
+    partial aggregation. `latest` is the greatest version number of the key. A table of no more rows than
+    that, which Parquet tells from its footers, has no such key.
     """
-    if df.count() <= rows_per_task:
-        df = df.limit(0)
+    total = df.count()
+    keyed = df.where(has_keys(keys)).withColumn(_HASH, F.xxhash64(*keys))
+    if total <= rows_per_task:
+        few = keyed.limit(0)
+    else:
+        few = keyed.join(F.broadcast(candidates(keyed, _HASH, total, rows_per_task)), _HASH, "leftsemi")
     return (
-        df.where(has_keys(keys))
-        .groupBy(*keys)
+        few.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("rows"), F.max(version_number(order)).alias("latest"))
         .where(F.col("rows") > rows_per_task)
     )
 
 
+_HASH = "_hash"
+
+
+def candidates(df: DataFrame, column: str, total: int, rows_per_task: int) -> DataFrame:
+    """(column,): values of a bigint column, every one with more than `rows_per_task` of the `total` rows among them.
+
+    Each task sums its rows up in a frequent-items sketch and names the values that have more than a certain share of its
+    rows. The share is such that what all tasks leave unnamed of a value is at most half of `rows_per_task`,
+    so a value that has more rows is named for at least the other half of them. So at most
+    2 * total / rows_per_task values are returned, and no value of a few rows leaves its task.
+
+    A sketch has at most a million entries, enough for 71,000 times `rows_per_task` rows. In a larger table the
+    limit grows with it, to 14 millionths of its rows.
+    """
+    size = min(max(2 * UNSEEN * total // rows_per_task, 1000), LARGEST_SKETCH)
+    task = F.spark_partition_id().alias("_task")
+    sketch = F.expr(f"approx_top_k({column}, {size // UNSEEN + 1}, {size})").alias("_top")
+    tasks = df.groupBy(task).agg(sketch, F.count(F.lit(1)).alias("_rows"))
+    named = tasks.select(F.explode("_top").alias("_item"), "_rows").where(
+        F.col("_item.count") * size > F.col("_rows") * UNSEEN
+    )
+    found = named.groupBy(F.col("_item.item").alias(column)).agg(F.sum("_item.count").alias("_seen"))
+    return found.where(F.col("_seen") * 2 > rows_per_task).select(column)
+
+
 def plan_cells(
     left: DataFrame, right: DataFrame | None, keys: Sequence[str], rows_per_task: int
 ) -> DataFrame:

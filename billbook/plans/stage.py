@@ -24,7 +24,7 @@ def latest_versions(
     df: DataFrame, mode: str = INTENDED, rows_per_task: int | None = skew.ROWS_PER_TASK
 ) -> DataFrame:
     """`dedup_latest` of one table, salting keys whose latest rows would overload a task."""
-    if check_mode(mode) == AS_WRITTEN or rows_per_task is None:
+    if check_mode(mode) == AS_WRITTEN or rows_per_task is None or df.count() <= rows_per_task:
         return dedup_latest(df, mode=mode)
     cells = skew.plan_cells(
         skew.find_hot_keys(df, rows_per_task=rows_per_task), None, INVOICE_KEYS, rows_per_task
@@ -45,9 +45,9 @@ def latest_joined(
     """Deduplicate both tables and join them.
 
     Two shuffles in all: each table is shuffled once for its deduplication and
-    the join reuses both layouts. Keys with more than `rows_per_task` rows are
-    counted first and salted through the same plan if there are any; None skips
-    the search.
+    the join reuses both layouts. If a table has more than `rows_per_task` rows, keys
+    with more than that are searched first, without a shuffle of the others, and salted
+    through the same plan if there are any; None skips the search.
 
     `payment_keys` tell payments apart. By default a later payment of an invoice
     replaces an earlier one; with `id_pagamento` among the keys only versions of
@@ -57,7 +57,7 @@ def latest_joined(
         raise ValueError(f"payment_keys must include {INVOICE_KEYS}")
     by_payment = set(payment_keys) != set(INVOICE_KEYS)
     cells = None
-    if rows_per_task is not None:
+    if rows_per_task is not None and any(t.count() > rows_per_task for t in (invoices, payments)):
         hot = [skew.find_hot_keys(t, rows_per_task=rows_per_task) for t in (invoices, payments)]
         cells = skew.plan_cells(*hot, INVOICE_KEYS, rows_per_task)
     every = check_mode(mode) == AS_WRITTEN

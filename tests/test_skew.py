@@ -102,6 +102,57 @@ def test_every_hot_key_is_found(spark):
     assert _hot(rare, 1000) == {(1, -1): 3000}
 
 
+def _shuffled(df):
+    """Records that each shuffle of an executed frame has written."""
+    df.collect()
+
+    def walk(node):
+        name = node.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if name.endswith("QueryStageExec"):
+            return walk(node.plan())
+        own = [node.metrics().apply("shuffleRecordsWritten").value()] if name == "ShuffleExchangeExec" else []
+        children = node.children()
+        return own + [n for i in range(children.size()) for n in walk(children.apply(i))]
+
+    return walk(df._jdf.queryExecution().executedPlan())
+
+
+def test_rare_keys_are_not_shuffled(spark):
+    columns = ["cast(1 as bigint) as id_cliente", "'20240201080000' as dt_proc", "202401 as ref"]
+    rare = spark.range(0, 2_000_000, 1, 16).selectExpr("if(id % 100 = 0, -1, id) as id_fatura", *columns)
+    found = find_hot_keys(rare, rows_per_task=1000)
+    records = _shuffled(found)
+    assert [tuple(r)[:3] for r in found.collect()] == [(1, -1, 20_000)]
+    assert len(records) >= 2 and max(records) <= 16
+
+
+@pytest.mark.parametrize("rows_per_task", [300, 1000, 5000])
+def test_candidates_where_sketches_forget(spark, monkeypatch, rows_per_task):
+    """Keys a little above the limit, spread over tasks of very different sizes among keys that are rare."""
+    from billbook.operators import skew
+
+    hot = rows_per_task + 1
+    rows = spark.range(0, 400_000, 1, 11).selectExpr("case when id < 200000 then id else id % 17 + 500000 end as k")
+    spread = spark.range(0, 5 * hot, 1, 7).selectExpr("-(id % 5) - 1 as k")
+    df = rows.unionByName(spread).unionByName(spark.range(0, 90_000, 1, 1).selectExpr("id + 1000000 as k"))
+    total = df.count()
+    found = {r.k for r in skew.candidates(df, "k", total, rows_per_task).collect()}
+    counts = {r.k: r["count"] for r in df.groupBy("k").count().where("count > 50").collect()}
+    assert {k for k, n in counts.items() if n > rows_per_task} <= found
+    assert len(found) <= 2 * total / rows_per_task
+
+
+def test_small_tables_write_nothing_to_find_hot_keys(spark, monkeypatch):
+    from billbook.operators import skew
+
+    inv, pay = _tables(spark, hot_payment=True)
+    monkeypatch.setattr(skew, "plan_cells", lambda *_: pytest.fail("searched"))
+    assert latest_joined(inv, pay, rows_per_task=1000).count() > 0
+    assert latest_versions(pay, rows_per_task=1000).count() > 0
+
+
 def test_a_key_hot_on_both_sides_becomes_a_grid(spark):
     inv, pay = frames(
         spark, [invoice(1, total=f"{n}.00") for n in range(100)],
