@@ -52,6 +52,12 @@ class Zones:
     def curated(self, table: str) -> str:
         return f"{self.root}/02_curated/{table}"
 
+    def versions(self, table: str, buckets: int) -> str:
+        return f"{self.root}/02_curated/ultimas_{table}_{buckets}"
+
+    def sliced(self, table: str, slices: int) -> str:
+        return f"{self.root}/02_curated/fatias_{slices}/{table}"
+
     def control(self, table: str) -> str:
         return f"{self.root}/03_controle/controle_{table}"
 

@@ -17,6 +17,12 @@ def subfolders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in found if s.isDirectory())
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a directory with all that is in it."""
+    at, files = _open(spark, path)
+    files.delete(at, True)
+
+
 def _open(spark: SparkSession, path: str):
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return at, at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

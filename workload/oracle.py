@@ -508,3 +508,15 @@ select variable, n.class_column, n.class_value, n.measure, cast(n.months as bigi
 from names n left join long l using (variable)
 group by variable, n.class_column, n.class_value, n.measure, n.months, n.aggregate""",
 }
+
+# The same rows, by other ways.
+ORACLE |= {
+    "dedup_invoices_bucketed": ORACLE["dedup_invoices"],
+    "dedup_payments_bucketed": ORACLE["dedup_payments"],
+    "invoice_payment_join_bucketed": ORACLE["invoice_payment_join"],
+    # Customers of the third load have the run that refreshed them.
+    "book_refreshed": f"""with {RAW}
+select * replace (case when id_cliente in (select id_cliente from pay where dt_proc = '{LOAD_3}' and {IN_RANGE})
+                  then '20000205220000' else dt_proc end as dt_proc)
+from ({_book()})""",
+}

@@ -14,13 +14,15 @@ from billbook.operators.dedup import latest_key
 from billbook.operators.standardize import standardize_invoices, standardize_payments
 from billbook.plans.book import book_schema, feature_book, feature_book_long
 from billbook.plans.jobs import book_job, extract_job, load_job
+from billbook.plans.refresh import book_by_slices, keep_history, read_sliced, refresh_book
 from billbook.plans.spec import BookSpec, catalog, expand
 from billbook.plans.stage import (
     AMOUNT, TIMING, build_stage, latest_joined, latest_versions, payment_variables,
 )
 from billbook.session import scratch_dir
-from billbook.sinks.lake import replace_months, write_month, write_months, write_raw
-from billbook.schema import CONTROL, INVOICE_KEYS, LINE
+from billbook.schema import CONTROL, INVOICE_KEYS, LINE, RAW
+from billbook.sinks.lake import replace_months, write_month, write_months, write_raw, write_run
+from billbook.sinks.versions import update_versions, versions_joined, versions_table
 from billbook.sources.ingestion import extract_snapshot, read_ingestion, read_lines
 from billbook.sources.lake import in_months, read_look_back, read_raw, read_rejects, read_stage, register_zones
 from billbook.streaming.daily_load import audit_arrivals, load_arrivals, reject_arrivals
@@ -270,6 +272,35 @@ def dedup_payments_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(latest_versions(_raw(spark, sf_dir, "pagamentos"), rows_per_task=FEW_ROWS))
 
 
+BUCKETS = 8
+
+
+def _kept_bucketed(spark: SparkSession, sf_dir: str) -> Zones:
+    """The lake with both tables of latest versions: runs brought in out of order, one of the payments' twice."""
+    zones = billing.lake(spark, sf_dir)
+
+    def update() -> None:
+        for run_ts in (LOADS[1], LOADS[0]):
+            update_versions(spark, zones, "faturas", run_ts, BUCKETS)
+        for run_ts in (LOADS[1], LOADS[0], LOADS[2], LOADS[0]):
+            update_versions(spark, zones, "pagamentos", run_ts, BUCKETS)
+
+    billing.once(spark, sf_dir, "versions", update)
+    return zones
+
+
+def dedup_bucketed(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        held = spark.table(versions_table(spark, _kept_bucketed(spark, sf_dir), name, BUCKETS))
+        return present(held.select(*RAW[name].names))
+
+    return query
+
+
+def invoice_payment_join_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return present(versions_joined(spark, _kept_bucketed(spark, sf_dir), BUCKETS))
+
+
 # Stage variables
 
 _PAIR = ("id_fatura", "id_cliente", "data_vencimento", "data_pagamento")
@@ -370,6 +401,29 @@ def book_from_text(mode: str) -> Query:
     return query
 
 
+SLICES = 8
+LATE_RUN = "20000205220000"
+
+
+def book_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A book of two loads, refreshed for the customers of the third."""
+    zones = _fresh(spark)
+    tables = {"faturas": billing.invoices(spark, sf_dir), "pagamentos": billing.payments(spark, sf_dir)}
+
+    def load(run_ts: str) -> None:
+        for name, rows in tables.items():
+            write_run(rows.where(F.col("dt_proc") == run_ts), zones.raw(name), run_ts)
+            keep_history(spark, zones, name, run_ts, SLICES)
+
+    load(LOADS[0])
+    load(LOADS[1])
+    book_by_slices(spark, zones, REF_DATE, RUN_TS, SLICES)
+    load(LOADS[2])
+    refresh_book(spark, zones, REF_DATE, LATE_RUN, [LOADS[2]], SLICES)
+    held = read_sliced(spark, zones, "book", book_schema(BookSpec()), SLICES).drop("fatia")
+    return _present_book(held, BookSpec())
+
+
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_book_long(written_stage(spark, sf_dir), BookSpec(), REF_DATE)
 
@@ -423,6 +477,9 @@ QUERIES: dict[str, Query] = {
     "invoice_payment_join_salted": invoice_payment_join_salted,
     "dedup_payments_salted": dedup_payments_salted,
     "invoice_payment_join": invoice_payment_join,
+    "dedup_invoices_bucketed": dedup_bucketed("faturas"),
+    "dedup_payments_bucketed": dedup_bucketed("pagamentos"),
+    "invoice_payment_join_bucketed": invoice_payment_join_bucketed,
     "days_class": variable(*_PAIR, TIMING),
     "days_late": variable(*_PAIR, "fvl_numero_dias_atraso"),
     "value_class": variable(*_AMOUNTS, AMOUNT),
@@ -437,6 +494,7 @@ QUERIES: dict[str, Query] = {
     "book_up_to_reference": book(BookSpec(include_after_ref=False)),
     "book_from_text": book_from_text(INTENDED),
     "book_as_written": book_from_text(AS_WRITTEN),
+    "book_refreshed": book_refreshed,
     "book_long": book_long,
     "book_catalog": book_catalog,
 }
