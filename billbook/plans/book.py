@@ -31,13 +31,17 @@ BAND = "_band"
 
 def feature_book(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFrame:
     """One row per customer, one column per variable; an empty cell is NULL."""
+    return wide_book(book_cells(stage, spec, ref_date), spec)
+
+
+def wide_book(cells: DataFrame, spec: BookSpec) -> DataFrame:
+    """The book from what `book_cells` returns."""
     numbers = _cell_numbers(spec)
     # As text: building hundreds of Column objects one by one takes seconds on the driver.
     columns = [f"`{k}`" for k in spec.group_keys] + [
         f"_cells[{numbers[v.class_column, v.class_value, v.months]}].`{_slot(v)}` as {v.name}"
         for v in expand(spec)
     ]
-    cells = book_cells(stage, spec, ref_date)
     values = F.struct(*[c for c in cells.columns if c not in (*spec.group_keys, CELL)])
     cell_map = F.map_from_entries(
         F.collect_list(F.when(F.col(CELL).isNotNull(), F.struct(F.col(CELL), values)))
@@ -98,16 +102,16 @@ def book_cells(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFr
     """
     codes = [f"_class{i}" for i in range(len(spec.classes))]
     banded = _banded(stage, spec, ref_date, codes)
-    rows = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*_partials(spec))
+    rows = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*partials(spec))
     values = [c for c in rows.columns if c not in (*spec.group_keys, *codes, BAND)]
     per_cell = (
         rows.repartition(*[F.col(k) for k in spec.group_keys])
         .select(*spec.group_keys, F.explode_outer(_cells_of(spec, codes)).alias(CELL), *values)
         .groupBy(*spec.group_keys, CELL)
-        .agg(*_merged(spec))
+        .agg(*merged(spec))
     )
     types = {m: stage.schema[m].dataType for m, _ in spec.measures}
-    return per_cell.select(*spec.group_keys, CELL, *_finished(spec, types))
+    return per_cell.select(*spec.group_keys, CELL, *finished(spec, types))
 
 
 def _banded(stage: DataFrame, spec: BookSpec, ref_date: date | str, codes: list[str]) -> DataFrame:
@@ -115,19 +119,25 @@ def _banded(stage: DataFrame, spec: BookSpec, ref_date: date | str, codes: list[
     band = window_band(
         F.col(spec.date_column), ref_date, spec.windows, spec.include_after_ref
     )
-    coded = []
-    first = 0
-    for name, (column, values) in zip(codes, spec.classes):
-        number = F.coalesce(*[
-            F.when(F.col(column) == value, F.lit(first + i)) for i, value in enumerate(values)
-        ])
-        coded.append(F.when(band.isNotNull(), number).alias(name))
-        first += len(values)
+    coded = [
+        F.when(band.isNotNull(), number).alias(name) for name, number in zip(codes, class_numbers(spec))
+    ]
     return stage.select(
         *spec.group_keys, *coded, band.alias(BAND), *[m for m, _ in spec.measures]
     )
 
 
+def class_numbers(spec: BookSpec) -> list[Column]:
+    """For each class column the number of the row's class over all of the spec, NULL if it has none."""
+    out, first = [], 0
+    for column, values in spec.classes:
+        out.append(F.coalesce(*[
+            F.when(F.col(column) == value, F.lit(first + i)) for i, value in enumerate(values)
+        ]))
+        first += len(values)
+    return out
+
+
 def _cells_of(spec: BookSpec, codes: list[str]) -> Column:
     """The cells holding a band: its own window and every longer one, per class."""
     width = len(spec.windows)
@@ -157,7 +167,7 @@ def _slot(v: Variable) -> str:
     return f"{v.measure}_{v.aggregate}"
 
 
-def _partials(spec: BookSpec) -> list[Column]:
+def partials(spec: BookSpec) -> list[Column]:
     """Per band: what the requested aggregates can be rebuilt from."""
     out = []
     for measure, aggregates in spec.measures:
@@ -173,7 +183,7 @@ def _partials(spec: BookSpec) -> list[Column]:
     return out
 
 
-def _merged(spec: BookSpec) -> list[Column]:
+def merged(spec: BookSpec) -> list[Column]:
     combine = {"sum": F.sum, "n": F.sum, "max": F.max, "min": F.min}
     out = []
     for measure, aggregates in spec.measures:
@@ -184,7 +194,7 @@ def _merged(spec: BookSpec) -> list[Column]:
     return out
 
 
-def _finished(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
+def finished(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
     """The aggregates, with the types Spark gives them on the unmerged rows."""
     out = []
     for measure, aggregates in spec.measures:

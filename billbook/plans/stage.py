@@ -101,8 +101,8 @@ def payment_variables(joined: DataFrame, ref_date: date | str, mode: str = INTEN
     )
 
 
-def stage_columns(variables: DataFrame, ref_date: date | str, run_ts: str) -> DataFrame:
-    """Project to the stage schema. `ref` is the month of the reference date."""
+def stage_columns(variables: DataFrame, ref_date: date | str, run_ts: str, *further: str) -> DataFrame:
+    """Project to the stage schema, and `further` columns. `ref` is the month of the reference date."""
     return variables.select(
         "id_cliente",
         F.lit(int(f"{as_date(ref_date):%Y%m}")).alias("ref"),
@@ -116,6 +116,7 @@ def stage_columns(variables: DataFrame, ref_date: date | str, run_ts: str) -> Da
         F.col("fvl_pct_fatura_pgto").cast("float").alias("fvl_pct_fatura_pgto"),
         "fvl_numero_dias_atraso",
         F.lit(1).alias("fvl_qtd_transacao"),
+        *further,
     )
 
 

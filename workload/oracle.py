@@ -7,6 +7,8 @@ numbers come from counting columns per block.
 
 from __future__ import annotations
 
+import re
+
 LOAD_1, LOAD_2, LOAD_3 = "20000201080000", "20000202080000", "20000203080000"
 RUN = "20000204220000"
 REF = "date '2000-02-01'"
@@ -228,18 +230,18 @@ def _slots() -> list[tuple[str, str, str]]:
     return out
 
 
-def _blocks(documented: bool = False):
+def _blocks(documented: bool = False, classes=tuple(CLASSES), windows=tuple(MONTHS)):
     """(number, class expression, class column, class, measure, months, aggregate, SQL)."""
     number = 0
     slots = _slots()
     measures = list(dict.fromkeys(m for m, _, _ in slots))
-    for expression, column, label in CLASSES:
+    for expression, column, label in classes:
         for measure in measures:
             if documented and measure == "fvl_pct_fatura_pgto" and label in (
                 "SEM_PAGAMENTO", "PAGAMENTO_TOTAL",
             ):
                 continue
-            for months in MONTHS:
+            for months in windows:
                 for m, aggregate, sql in slots:
                     if m != measure or (documented and months == 1 and aggregate != "SUM"):
                         continue
@@ -275,10 +277,10 @@ pay as (
 
 
 def _book(
-    documented: bool = False, up_to_reference: bool = False, literal: bool = False, raw: str = RAW
+    documented: bool = False, up_to_reference: bool = False, literal: bool = False, raw: str = RAW, **some
 ) -> str:
     columns = []
-    for number, expression, _, label, _, months, _, sql in _blocks(documented):
+    for number, expression, _, label, _, months, _, sql in _blocks(documented, **some):
         f = f"filter (where {expression} = '{label}' and {_window(months, up_to_reference)})"
         columns.append(f"{sql.format(f=f)} as VAR_{number}")
     return (
@@ -509,11 +511,23 @@ from names n left join long l using (variable)
 group by variable, n.class_column, n.class_value, n.measure, n.months, n.aggregate""",
 }
 
+
+def _at(sql: str, year: int, month: int) -> str:
+    """A query of the reference date as one of the first day of another month."""
+    last, first = year * 100 + month, (year - 1) * 100 + month
+    sql = sql.replace(REF, f"date '{year}-{month:02}-01'")
+    return re.sub(rf"\b{FIRST}\b", str(first), re.sub(rf"\b{LAST}\b", str(last), sql))
+
+
 # The same rows, by other ways.
 ORACLE |= {
     "dedup_invoices_bucketed": ORACLE["dedup_invoices"],
     "dedup_payments_bucketed": ORACLE["dedup_payments"],
     "invoice_payment_join_bucketed": ORACLE["invoice_payment_join"],
+    "books_of_a_year": "\nunion all\n".join(
+        f"select * from ({_at(_book(classes=CLASSES[:2], windows=(3, 12)), 1999 + (m > 12), m - 12 * (m > 12))})"
+        for m in range(3, 15)
+    ),
     # Customers of the third load have the run that refreshed them.
     "book_refreshed": f"""with {RAW}
 select * replace (case when id_cliente in (select id_cliente from pay where dt_proc = '{LOAD_3}' and {IN_RANGE})

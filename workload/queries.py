@@ -10,9 +10,11 @@ from pyspark.sql import types as T
 
 from billbook.config import AS_WRITTEN, INTENDED, Zones, month_bounds
 from billbook.functions.calendar import window_flags
+from billbook.functions.payment import LATE, UNPAID
 from billbook.operators.dedup import latest_key
 from billbook.operators.standardize import standardize_invoices, standardize_payments
 from billbook.plans.book import book_schema, feature_book, feature_book_long
+from billbook.plans.books import feature_books
 from billbook.plans.jobs import book_job, extract_job, load_job
 from billbook.plans.refresh import book_by_slices, keep_history, read_sliced, refresh_book
 from billbook.plans.spec import BookSpec, catalog, expand
@@ -424,6 +426,18 @@ def book_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _present_book(held, BookSpec())
 
 
+def _twelve_months() -> list[str]:
+    """The reference date and the same day of the eleven months before."""
+    return [f"1999-{m:02}-01" for m in range(3, 13)] + ["2000-01-01", REF_DATE]
+
+
+def books_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve monthly books of the unpaid and the late from one scan of each raw table."""
+    tables = [_raw(spark, sf_dir, n) for n in ("faturas", "pagamentos")]
+    spec = BookSpec(classes=((TIMING, (UNPAID, LATE)),), windows=(3, 12))
+    return _present_book(feature_books(*tables, _twelve_months(), RUN_TS, spec), spec)
+
+
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feature_book_long(written_stage(spark, sf_dir), BookSpec(), REF_DATE)
 
@@ -495,6 +509,7 @@ QUERIES: dict[str, Query] = {
     "book_from_text": book_from_text(INTENDED),
     "book_as_written": book_from_text(AS_WRITTEN),
     "book_refreshed": book_refreshed,
+    "books_of_a_year": books_of_a_year,
     "book_long": book_long,
     "book_catalog": book_catalog,
 }
