@@ -19,6 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -108,14 +109,22 @@ def search(
     Both frames have (vec_id, embedding); other columns are left out. Scores are inner products in double
     precision, ties go to the smaller vec_id. A query is no candidate of its own: rows of its vec_id are
     left out. Vectors that are NULL, empty, zero or have NULL or non-finite components take no part, nor
-    do rows without vec_id or with fewer components than the longest; repeated rows count once. A query
+    do rows without vec_id; repeated rows count once. Vectors have inner products with those of as many
+    components only, so each number of components, of which a table has few, is searched on its own. A query
     with fewer than k found is searched again among all candidates.
     """
-    rows = _vectors(candidates)
+    rows, asked = _vectors(candidates), _vectors(queries)
+    widths = sorted(r[0] for r in rows.select(F.size("v")).distinct().collect())
+    if len(widths) < 2:
+        return _search(rows, asked, k, index)
+    return reduce(DataFrame.unionByName, [
+        _search(*[df.where(F.size("v") == width) for df in (rows, asked)], k, index) for width in widths
+    ])
+
+
+def _search(rows: DataFrame, asked: DataFrame, k: int, index: CrossPolytope) -> DataFrame:
+    """`search` among vectors of one width."""
     norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))
-    width = rows.agg(F.max(F.size("v"))).first()[0]
-    asked = _vectors(queries).where(F.size("v") == F.lit(width))
-    rows = rows.where(F.size("v") == F.lit(width))
     # Of equal vectors, the k + 1 smallest ids are all that a result can show.
     by_vector = Window.partitionBy("v").orderBy("vec_id")
     ids = rows.withColumn("n", F.row_number().over(by_vector)).where(F.col("n") <= k + 1)

@@ -246,8 +246,11 @@ def deduplicate(
     the same text or another, overlaps included; all strings are judged on the input. `kept` has the
     other bytes of the UTF-8 text. Rows stay as they are, repeated ones and NULL ids too; a repeated row
     is a copy like any other. NULL and empty texts have no bytes. Own columns of the three names give way.
-    `as_text` gives `kept` as a string, without the rest of characters that were cut into.
+    `as_text` gives `kept` as a string, without the rest of characters that were cut into. `length` is from 64, the
+    bytes of an anchor, to 254, as common prefixes are bytes.
     """
+    if not 64 <= length <= 254:
+        raise ValueError(f"length must be from 64 to 254, not {length}")
     chunks = chunks_of(docs, chunk_bytes)
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, ceil(size / shard_bytes))

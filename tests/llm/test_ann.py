@@ -51,6 +51,15 @@ def test_copies_blocks_and_invalid_vectors(spark):
     assert searched(spark, rows, 20, index) == brute(valid, [0, 20, 40, 100, 120, 140], 20)
 
 
+def test_each_width_is_searched(spark):
+    rng = np.random.default_rng(6)
+    narrow = [(i, rng.normal(size=8).astype(np.float32)) for i in range(40)]
+    wide = [(i, rng.normal(size=12).astype(np.float32)) for i in range(100, 130)]
+    index = ann.CrossPolytope(tables=3, probes=1.0)
+    found = searched(spark, [*narrow, *wide, (1000, [1.0] * 65)], 20, index)
+    assert found == brute(narrow, [0, 20], 20) | brute(wide, [100, 120], 20)
+
+
 def test_ties_at_the_border_of_a_block(spark):
     # 400 different vectors have the same product with the query; the smallest ids are last in no order.
     rng = np.random.default_rng(4)

@@ -98,3 +98,10 @@ def test_a_character_that_is_cut_into_is_left_out(spark):
     docs = spark.createDataFrame([(1, "begin é" + tail), (2, "other ©" + tail)], "doc_id int, text string")
     found = dict(repeats.without_repeats(docs).select("doc_id", "text").collect())
     assert found == {1: "begin ", 2: "other "}
+
+
+@pytest.mark.parametrize("length", [0, 63, 255, 300])
+def test_lengths_beyond_the_method_are_refused(spark, length):
+    docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
+    with pytest.raises(ValueError, match="64 to 254"):
+        repeats.deduplicate(docs, length)
