@@ -102,15 +102,15 @@ def book_cells(stage: DataFrame, spec: BookSpec, ref_date: date | str) -> DataFr
     """
     codes = [f"_class{i}" for i in range(len(spec.classes))]
     banded = _banded(stage, spec, ref_date, codes)
-    rows = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*partials(spec))
+    types = {m: stage.schema[m].dataType for m, _ in spec.measures}
+    rows = banded.groupBy(*spec.group_keys, *codes, BAND).agg(*partials(spec, types))
     values = [c for c in rows.columns if c not in (*spec.group_keys, *codes, BAND)]
     per_cell = (
         rows.repartition(*[F.col(k) for k in spec.group_keys])
         .select(*spec.group_keys, F.explode_outer(_cells_of(spec, codes)).alias(CELL), *values)
         .groupBy(*spec.group_keys, CELL)
-        .agg(*merged(spec))
+        .agg(*merged(spec, types))
     )
-    types = {m: stage.schema[m].dataType for m, _ in spec.measures}
     return per_cell.select(*spec.group_keys, CELL, *finished(spec, types))
 
 
@@ -167,31 +167,66 @@ def _slot(v: Variable) -> str:
     return f"{v.measure}_{v.aggregate}"
 
 
-def partials(spec: BookSpec) -> list[Column]:
+def _parts(aggregates: tuple[str, ...], kind: T.DataType) -> list[str]:
+    """What the aggregates of a measure are rebuilt from."""
+    total = [f"sum{i}" for i in range(len(LIMBS))] + ["odd"] if _floating(kind) else ["sum"]
+    needs = {"SUM": total, "AVG": [*total, "n"], "MAX": ["max"], "MIN": ["min"]}
+    return list(dict.fromkeys(p for a in aggregates for p in needs[a]))
+
+
+def partials(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
     """Per band: what the requested aggregates can be rebuilt from."""
     out = []
     for measure, aggregates in spec.measures:
         value = F.col(measure)
-        if {"SUM", "AVG"} & set(aggregates):
-            out.append(F.sum(value).alias(f"{measure}_sum"))
-        if "AVG" in aggregates:
-            out.append(F.count(value).alias(f"{measure}_n"))
-        if "MAX" in aggregates:
-            out.append(F.max(value).alias(f"{measure}_max"))
-        if "MIN" in aggregates:
-            out.append(F.min(value).alias(f"{measure}_min"))
+        made = {"sum": F.sum(value), "n": F.count(value), "max": F.max(value), "min": F.min(value)}
+        if _floating(types[measure]):
+            limbs, odd = _limbs(value.cast("double"))
+            made |= {f"sum{i}": F.sum(limb) for i, limb in enumerate(limbs)} | {"odd": F.sum(odd)}
+        out += [made[p].alias(f"{measure}_{p}") for p in _parts(aggregates, types[measure])]
     return out
 
 
-def merged(spec: BookSpec) -> list[Column]:
-    combine = {"sum": F.sum, "n": F.sum, "max": F.max, "min": F.min}
-    out = []
-    for measure, aggregates in spec.measures:
-        parts = {"SUM": ["sum"], "AVG": ["sum", "n"], "MAX": ["max"], "MIN": ["min"]}
-        for part in dict.fromkeys(p for a in aggregates for p in parts[a]):
-            name = f"{measure}_{part}"
-            out.append(combine[part](name).alias(name))
-    return out
+def merged(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
+    combine = {"max": F.max, "min": F.min}
+    return [
+        combine.get(part, F.sum)(f"{measure}_{part}").alias(f"{measure}_{part}")
+        for measure, aggregates in spec.measures
+        for part in _parts(aggregates, types[measure])
+    ]
+
+
+# A sum of floating numbers depends on their order. So each is cut into whole numbers of 24 bits, of these powers of
+# two, whose sums do not. Bits below the last power are left out of every number alike; percentages
+# have none.
+LIMBS = (24, 0, -24, -48, -72)
+# Numbers from here on, and those that are not finite, are summed as they are.
+LARGE = 2.0**50
+
+
+def _floating(kind: T.DataType) -> bool:
+    return isinstance(kind, (T.FloatType, T.DoubleType))
+
+
+def _limbs(value: Column) -> tuple[list[Column], Column]:
+    """Whole numbers that times 2 to the power of `LIMBS` make up the value, and the value if it is too large for it."""
+    plain = F.abs(value) < LARGE  # not so for NaN, which is larger than any number
+    limbs, rest = [], F.when(plain, value) / 2.0 ** LIMBS[0]
+    for _ in LIMBS:
+        whole = F.floor(rest)
+        limbs.append(whole)
+        rest = (rest - whole) * 2.0**24
+    return limbs, F.when(~plain, value)
+
+
+def _total(measure: str) -> Column:
+    """The sum that the sums of limbs stand for, NULL if there was no value."""
+    total = F.lit(0.0)
+    for i in reversed(range(len(LIMBS))):
+        total = total / 2.0**24 + F.col(f"{measure}_sum{i}").cast("double")
+    total = total * 2.0 ** LIMBS[0]
+    odd = F.col(f"{measure}_odd")
+    return F.when(odd.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + odd)
 
 
 def finished(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
@@ -199,7 +234,8 @@ def finished(spec: BookSpec, types: dict[str, T.DataType]) -> list[Column]:
     out = []
     for measure, aggregates in spec.measures:
         sum_type, avg_type = _sum_type(types[measure]), _avg_type(types[measure])
-        total, n = F.col(f"{measure}_sum"), F.col(f"{measure}_n")
+        total = _total(measure) if _floating(types[measure]) else F.col(f"{measure}_sum")
+        n = F.col(f"{measure}_n")
         exact = isinstance(avg_type, T.DecimalType)
         for aggregate in aggregates:
             if aggregate == "SUM":

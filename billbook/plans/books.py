@@ -158,8 +158,9 @@ def _cells(rows: DataFrame, spec: BookSpec, dates: Sequence[date]) -> DataFrame:
         F.when(day.isNotNull(), F.size(F.filter(F.array(*[F.lit(b) for b in bounds]), lambda b: b <= day))).alias(SLICE),
         FIRST, LAST, (F.col(TIMING) == UNPAID).alias(SINCE), *[m for m, _ in spec.measures],
     )
+    types = {m: STAGE[m].dataType for m, _ in spec.measures}
     counted = [F.count(DAYS).alias(COUNTED)] if DAYS in dict(spec.measures) else []
-    few = sliced.groupBy(*keys, *codes, SLICE, FIRST, LAST, SINCE).agg(*partials(spec), *counted)
+    few = sliced.groupBy(*keys, *codes, SLICE, FIRST, LAST, SINCE).agg(*partials(spec, types), *counted)
     values = [c for c in few.columns if c not in (*keys, *codes, SLICE, FIRST, LAST, SINCE, COUNTED)]
 
     at = F.col("_date") + 1
@@ -187,9 +188,8 @@ def _cells(rows: DataFrame, spec: BookSpec, dates: Sequence[date]) -> DataFrame:
     per_cell = (
         shown.select(*spec.group_keys, F.explode_outer(F.concat(*runs)).alias(CELL), *values)
         .groupBy(*spec.group_keys, CELL)
-        .agg(*merged(spec))
+        .agg(*merged(spec, types))
     )
-    types = {m: STAGE[m].dataType for m, _ in spec.measures}
     return per_cell.select(*spec.group_keys, CELL, *finished(spec, types))
 
 

@@ -161,7 +161,7 @@ classed as (
          when valor_pagamento < valor_fatura then 'PAGAMENTO_PARCIAL' end as vlr
   from joined
 ),
-vars as (
+vars0 as (
   select *,
     case dias when 'SEM_PAGAMENTO' then {REF} - data_vencimento
               when 'PAGAMENTO_ATRASADO' then data_pagamento - data_vencimento
@@ -169,6 +169,13 @@ vars as (
               when 'PAGAMENTO_ANTECIPADO' then -1 end as atraso,
     cast(cast({pct} as float) as double) as pct
   from classed
+),
+-- Percentages in whole numbers of 24 bits: their sums do not depend on the order.
+vars as (
+  select *, floor(pct / 16777216) as p0, floor(pct) - 16777216 * floor(pct / 16777216) as p1,
+         floor(pct * 16777216) - 16777216 * floor(pct) as p2,
+         floor(r * 16777216) as p3, floor((r * 16777216 - floor(r * 16777216)) * 16777216) as p4
+  from (select *, (pct - floor(pct)) * 16777216 - floor((pct - floor(pct)) * 16777216) as r from vars0)
 )"""
 
 
@@ -199,6 +206,13 @@ CLASSES = [
 MONTHS = [1, 3, 6, 9, 12]
 
 
+def _exact_sum() -> str:
+    total = "cast(0 as double)"
+    for i in reversed(range(5)):
+        total = f"({total} / 16777216 + cast(sum(cast(p{i} as bigint)) {{f}} as double))"
+    return f"{total} * 16777216"
+
+
 def _slots() -> list[tuple[str, str, str]]:
     """(measure, aggregate, SQL with a {f} filter placeholder) in numbering order."""
     out = []
@@ -223,7 +237,7 @@ def _slots() -> list[tuple[str, str, str]]:
         (late, "MAX", "cast(max(atraso) {f} as bigint)"),
         (late, "MIN", "cast(min(atraso) {f} as bigint)"),
         ("fvl_qtd_transacao", "SUM", "cast(sum(1) {f} as bigint)"),
-        (pct, "AVG", "round(avg(pct) {f}, 4)"),
+        (pct, "AVG", f"{_exact_sum()} / count(pct) {{f}}"),
         (pct, "MAX", "round(max(pct) {f}, 4)"),
         (pct, "MIN", "round(min(pct) {f}, 4)"),
     ]
@@ -300,7 +314,7 @@ def _long() -> str:
     )
     cells = "\nunion all\n".join(
         f"select id_cliente, '{column}' as class_column, '{label}' as class_value, w as months, "
-        "valor_fatura, valor_pagamento_minimo, valor_pagamento, atraso, pct "
+        "valor_fatura, valor_pagamento_minimo, valor_pagamento, atraso, pct, p0, p1, p2, p3, p4 "
         f"from vars, (values (1), (3), (6), (9), (12)) t(w) "
         f"where {expression} = '{label}' and data_emissao >= {REF} - to_months(w)"
         for expression, column, label in CLASSES
@@ -502,7 +516,7 @@ from lin, (values ('{LOAD_1}'), ('{LOAD_2}')) t(dt_proc) group by dt_proc""",
     "book_long": "with " + _long() + f"""
 select id_cliente, cast(200002 as bigint) as ref, '{RUN}' as dt_proc, variable, class_column, class_value,
        measure, months, aggregate,
-       case when measure = 'fvl_pct_fatura_pgto' then round(value, 4) else value end as value
+       case when measure = 'fvl_pct_fatura_pgto' and aggregate <> 'AVG' then round(value, 4) else value end as value
 from long""",
     "book_catalog": "with " + _long() + """
 select variable, n.class_column, n.class_value, n.measure, cast(n.months as bigint) as months,

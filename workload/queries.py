@@ -17,7 +17,7 @@ from billbook.plans.book import book_schema, feature_book, feature_book_long
 from billbook.plans.books import feature_books
 from billbook.plans.jobs import book_job, extract_job, load_job
 from billbook.plans.refresh import book_by_slices, keep_history, read_sliced, refresh_book
-from billbook.plans.spec import BookSpec, catalog, expand
+from billbook.plans.spec import BookSpec, catalog
 from billbook.plans.stage import (
     AMOUNT, TIMING, build_stage, latest_joined, latest_versions, payment_variables,
 )
@@ -357,18 +357,6 @@ def stage(mode: str) -> Query:
 # Book
 
 
-def _present_book(df: DataFrame, spec: BookSpec) -> DataFrame:
-    """Averages of float percentages depend on the order of summing in the last digits."""
-    rounded = {
-        v.name for v in expand(spec) if v.measure == "fvl_pct_fatura_pgto" and v.aggregate == "AVG"
-    }
-    shown = present(df)
-    # As text, like the book itself: hundreds of columns.
-    return shown.selectExpr(
-        *[f"round({c}, 4) as {c}" if c in rounded else c for c in shown.columns]
-    )
-
-
 def written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stage as the book job sees it: read back from its files, written once per session."""
     zones, month = billing.lake(spark, sf_dir), month_bounds(REF_DATE)[1]
@@ -378,7 +366,7 @@ def written_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def book(spec: BookSpec) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return _present_book(feature_book(written_stage(spark, sf_dir), spec, REF_DATE), spec)
+        return present(feature_book(written_stage(spark, sf_dir), spec, REF_DATE))
 
     return query
 
@@ -398,7 +386,7 @@ def book_from_text(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         zones = _from_text(spark, sf_dir, mode)
         schema = book_schema(BookSpec())
-        return _present_book(spark.read.schema(schema).parquet(zones.curated("book")), BookSpec())
+        return present(spark.read.schema(schema).parquet(zones.curated("book")))
 
     return query
 
@@ -423,7 +411,7 @@ def book_refreshed(spark: SparkSession, sf_dir: str) -> DataFrame:
     load(LOADS[2])
     refresh_book(spark, zones, REF_DATE, LATE_RUN, [LOADS[2]], SLICES)
     held = read_sliced(spark, zones, "book", book_schema(BookSpec()), SLICES).drop("fatia")
-    return _present_book(held, BookSpec())
+    return present(held)
 
 
 def _twelve_months() -> list[str]:
@@ -435,7 +423,7 @@ def books_of_a_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Twelve monthly books of the unpaid and the late from one scan of each raw table."""
     tables = [_raw(spark, sf_dir, n) for n in ("faturas", "pagamentos")]
     spec = BookSpec(classes=((TIMING, (UNPAID, LATE)),), windows=(3, 12))
-    return _present_book(feature_books(*tables, _twelve_months(), RUN_TS, spec), spec)
+    return present(feature_books(*tables, _twelve_months(), RUN_TS, spec))
 
 
 def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -443,10 +431,11 @@ def _long(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def book_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    is_pct = F.col("measure") == "fvl_pct_fatura_pgto"
+    # The greatest and least percentages are shown as the wide book's, averages as they are.
+    shown = (F.col("measure") == "fvl_pct_fatura_pgto") & (F.col("aggregate") != "AVG")
     return (
         _long(spark, sf_dir)
-        .withColumn("value", F.when(is_pct, F.round("value", 4)).otherwise(F.col("value")))
+        .withColumn("value", F.when(shown, F.round("value", 4)).otherwise(F.col("value")))
         .withColumn("months", F.col("months").cast("bigint"))
     )
 
