@@ -399,6 +399,7 @@ FLAGS = ", ".join(
 
 ORACLE: dict[str, str] = {
     "extract_snapshot": f"with {TEXT}\nselect * from txt",
+    "extract_equal_depth": f"with {RAW} select id_cliente, count(*) as linhas, 1 as partes from inv group by id_cliente",
     "raw_invoices": _standardized(
         "try_cast(split_part(id_fatura, '-', 2) as bigint)",
         "try_cast(data_emissao as date)",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +26,7 @@ from billbook.session import scratch_dir
 from billbook.schema import CONTROL, INVOICE_KEYS, LINE, RAW
 from billbook.sinks.lake import replace_months, write_month, write_months, write_raw, write_run
 from billbook.sinks.versions import update_versions, versions_joined, versions_table
+from billbook.sources.database import equal_depth_predicates
 from billbook.sources.ingestion import extract_snapshot, read_ingestion, read_lines
 from billbook.sources.lake import in_months, read_look_back, read_raw, read_rejects, read_stage, register_zones
 from billbook.streaming.daily_load import audit_arrivals, load_arrivals, reject_arrivals
@@ -66,6 +68,18 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_ingestion(spark, zones, "tb_faturas")
 
 
+def extract_equal_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table read in parts of equal depth, as a database would be: per customer its rows and the parts they are in."""
+    table = billing.invoices(spark, sf_dir)
+    parts = [
+        table.where(p).select("id_cliente", F.lit(i).alias("part"))
+        for i, p in enumerate(equal_depth_predicates(table, "id_cliente", 6))
+    ]
+    return reduce(DataFrame.unionByName, parts).groupBy("id_cliente").agg(
+        F.count(F.lit(1)).alias("linhas"), F.count_distinct("part").alias("partes")
+    )
+
+
 def raw_invoices(mode: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         return present(standardize_invoices(extract(spark, sf_dir), RUN_TS, mode))
@@ -453,6 +467,7 @@ def book_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "extract_snapshot": extract,
+    "extract_equal_depth": extract_equal_depth,
     "raw_invoices": raw_invoices(INTENDED),
     "raw_invoices_as_written": raw_invoices(AS_WRITTEN),
     "raw_payments": raw_payments,
