@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import string
+import uuid
 from collections.abc import Callable
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,8 +43,11 @@ def kept(key: object, make: Callable[[], object]) -> object:
 
 
 def release() -> None:
-    """Drops what another operator's tasks have left in this worker."""
-    _kept.clear()
+    """Drops what another operator's tasks have left in this worker, and hands its Arrow memory back."""
+    if _kept:
+        _kept.clear()
+        gc.collect()
+    pa.default_memory_pool().release_unused()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -62,3 +68,22 @@ def written(df: DataFrame, purpose: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, purpose)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, purpose: str, key: str) -> tuple[DataFrame, int]:
+    """As `written`, with the rows bucketed by `key`, and the number of buckets: one for each shuffle partition.
+
+    Rows go to their bucket's file from the task that has them. What is joined to the table by `beside` moves to
+    its rows, which stay.
+    """
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    name = f"billbook_{purpose}_{uuid.uuid4().hex}"
+    path = scratch_dir(spark, purpose)
+    df.write.option("path", path).bucketBy(buckets, key).format("parquet").saveAsTable(name)
+    return spark.table(name), buckets
+
+
+def beside(rows: DataFrame, key: str, buckets: int) -> DataFrame:
+    """rows shuffled as a bucketed table lies, whatever number of partitions the session has now."""
+    return rows.repartition(buckets, key)

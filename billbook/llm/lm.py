@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
-from billbook.llm.common import release, written
+from billbook.llm.common import beside, bucketed, release, written
 from billbook.llm.elias_fano import EliasFano
 
 CHUNK_TOKENS = 500_000
@@ -66,8 +66,8 @@ def _hash(word: str | bytes) -> int:
 # Chunks
 
 
-def chunks_of(docs: DataFrame, train: Column, chunk_tokens: int = CHUNK_TOKENS) -> DataFrame:
-    """The written chunk table of docs (doc_id, text); `train` marks the rows to learn from.
+def chunks_of(docs: DataFrame, train: Column, chunk_tokens: int = CHUNK_TOKENS) -> tuple[DataFrame, int]:
+    """The chunk table of docs (doc_id, text) and the number of its buckets; `train` marks the rows to learn from.
 
     One row per chunk: its documents in order, and as one packed value the sizes and training marks of
     the documents, the chunk's words and its tokens.
@@ -133,7 +133,7 @@ def chunks_of(docs: DataFrame, train: Column, chunk_tokens: int = CHUNK_TOKENS)
         if ids:
             yield chunk()
 
-    return written(rows.mapInArrow(run, schema), "chunks")
+    return bucketed(rows.mapInArrow(run, schema), "chunks", "chunk")
 
 
 class _Chunk:
@@ -378,7 +378,7 @@ def score(
     stay, with repeated or NULL doc_ids too; other columns are left out. If nothing is learnt, every
     token is the unknown word of an empty model, with probability 1.
     """
-    chunks = chunks_of(docs, train, chunk_tokens)
+    chunks, buckets = chunks_of(docs, train, chunk_tokens)
     size = chunks.agg(F.sum("n_tokens")).first()[0] or 0
     shards = max(1, ceil(size / shard_tokens))
     words = word_answers(chunks, shards, shard_tokens // 4)
@@ -396,11 +396,11 @@ def score(
     bigrams = bigram_answers(chunks, shards, hot)
     spread = np.array(sorted(hot), np.uint64)
 
-    answers = (
+    every = (
         words.where("chunk is not null").select("chunk", F.struct(F.lit(0).alias("level"), "shard", "answer").alias("x"))
         .unionByName(bigrams.select("chunk", F.struct(F.lit(1).alias("level"), "shard", "answer").alias("x")))
-        .groupBy("chunk").agg(F.collect_list("x").alias("answers"))
     )
+    answers = beside(every, "chunk", buckets).groupBy("chunk").agg(F.collect_list("x").alias("answers"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -11,6 +11,8 @@ windows travel by anchor to shards, and only those whose anchor occurs twice:
    a neighbour in the order, or with a copy, for `length` bytes.
 3. Chunks put the answers together and cut the covered bytes out.
 
+Only blocks and answers are shuffled: the chunk table is bucketed, and answers come to their chunk.
+
 A passage that a third of all documents share is one string per chunk. Chunks and shards
 have bounded sizes, their numbers grow with the input, and a shard larger than memory is
 sorted on the task's disk.
@@ -31,7 +33,7 @@ from pyspark.sql import types as T
 
 from billbook.llm.anchors import runs
 from billbook.llm.blocks import by_shard, pack, shard_of, smallest, unpack
-from billbook.llm.common import release, written
+from billbook.llm.common import beside, bucketed, release, written
 from billbook.llm.induced import suffixes
 
 LENGTH = 200
@@ -41,8 +43,8 @@ _BORDER = b"\xff"  # in no UTF-8 text
 ADDED = ("n_bytes", "spans", "kept")
 
 
-def chunks_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """The written chunk table of docs: (chunk, rows, n_bytes, packed).
+def chunks_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> tuple[DataFrame, int]:
+    """The chunk table of docs, (chunk, rows, n_bytes, packed), and the number of its buckets by chunk.
 
     `rows` has the documents' other columns in order, `packed` their sizes and UTF-8 bytes. A longer
     text is a chunk of its own.
@@ -97,7 +99,7 @@ def chunks_of(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             yield chunk()
 
     picked = docs.select(*others, "text")
-    return written(picked.mapInArrow(run, schema), "chunks")
+    return bucketed(picked.mapInArrow(run, schema), "chunks", "chunk")
 
 
 class _Chunk:
@@ -164,8 +166,9 @@ def _answered(blocks: DataFrame, answer: Callable[[list[bytes]], list[bytes]], n
     return written(done, name)
 
 
-def _collected(answers: DataFrame, name: str) -> DataFrame:
-    return answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "answer")).alias(name))
+def _collected(answers: DataFrame, name: str, buckets: int) -> DataFrame:
+    own = beside(answers, "chunk", buckets)
+    return own.groupBy("chunk").agg(F.collect_list(F.struct("shard", "answer")).alias(name))
 
 
 def _by_number(answers: list[dict] | None) -> dict[int, bytes]:
@@ -251,7 +254,7 @@ def deduplicate(
     """
     if not 64 <= length <= 254:
         raise ValueError(f"length must be from 64 to 254, not {length}")
-    chunks = chunks_of(docs, chunk_bytes)
+    chunks, buckets = chunks_of(docs, chunk_bytes)
     size = chunks.agg(F.sum("n_bytes")).first()[0] or 0
     shards = max(1, ceil(size / shard_bytes))
 
@@ -278,11 +281,10 @@ def deduplicate(
         ]
 
     schema = "chunk bigint, shard bigint, block binary"
-    repeated = _collected(
-        _answered(_mapped(chunks, ["packed"], anchors, schema), _repeated_anchors, "anchors"), "anchors"
-    )
+    answers = _answered(_mapped(chunks, ["packed"], anchors, schema), _repeated_anchors, "anchors")
+    repeated = _collected(answers, "anchors", buckets)
     blocks = _mapped(chunks.join(repeated, "chunk", "left"), ["packed", "anchors"], strings, schema)
-    windows = _collected(_answered(blocks, lambda b: _repeated_strings(b, length), "strings"), "windows")
+    windows = _collected(_answered(blocks, lambda b: _repeated_strings(b, length), "strings"), "windows", buckets)
     return _cut(chunks.join(repeated, "chunk", "left").join(windows, "chunk", "left"), length, shards, as_text)
 
 

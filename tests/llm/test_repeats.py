@@ -105,3 +105,15 @@ def test_lengths_beyond_the_method_are_refused(spark, length):
     docs = spark.createDataFrame([(1, "a")], "doc_id bigint, text string")
     with pytest.raises(ValueError, match="64 to 254"):
         repeats.deduplicate(docs, length)
+
+
+def test_texts_are_not_shuffled(spark):
+    importable(spark)
+    docs = spark.createDataFrame([(i, f"text {i} " * 50, None) for i in range(20)], SCHEMA)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = repeats.deduplicate(docs, chunk_bytes=2_000, shard_bytes=4_000)._jdf.queryExecution().executedPlan()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    moved = [line for line in plan.toString().splitlines() if "Exchange" in line]
+    assert len(moved) == 2 and all("REPARTITION_BY_NUM" in line for line in moved)  # both kinds of answers
