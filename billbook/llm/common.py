@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import os
 import string
@@ -43,11 +44,14 @@ def kept(key: object, make: Callable[[], object]) -> object:
 
 
 def release() -> None:
-    """Drops what another operator's tasks have left in this worker, and hands its Arrow memory back."""
+    """Drops what another operator's tasks have left in this worker, and hands its memory back to the system."""
     if _kept:
         _kept.clear()
         gc.collect()
     pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
