@@ -9,12 +9,14 @@ import argparse
 import os
 from datetime import datetime
 
-from billbook.config import AS_WRITTEN, INTENDED, Zones
+from billbook.config import AS_WRITTEN, BY_CUSTOMER, INTENDED, Zones
 from billbook.plans.jobs import book_job, extract_job, load_job
 from billbook.plans.spec import BookSpec
-from billbook.schema import INGESTION, INVOICE_KEYS
+from billbook.schema import INGESTION, INVOICE_KEYS, RAW
 from billbook.session import build_session
+from billbook.sinks.clustered import ROWS_PER_FILE, cluster
 from billbook.sources.database import jdbc_table
+from billbook.sources.folders import exists
 from billbook.sources.lake import register_zones
 
 
@@ -51,6 +53,11 @@ def parser() -> argparse.ArgumentParser:
     book.add_argument("--by-payment", action="store_true", help="keep all payments of an invoice, not its latest")
     book.add_argument("--mode", choices=(INTENDED, AS_WRITTEN), default=INTENDED)
 
+    clustered = jobs.add_parser("cluster", help="copy of a lake table clustered by customer, for looking customers up")
+    clustered.add_argument("table", choices=sorted((*RAW, "stage", "book")))
+    clustered.add_argument("--months", type=int, nargs="+", help="only these (yyyyMM); all if left out")
+    clustered.add_argument("--rows-per-file", type=int, default=ROWS_PER_FILE)
+
     sql = jobs.add_parser("sql", help="run a statement over the lake's tables")
     sql.add_argument("statement")
     sql.add_argument("--database", default="lake")
@@ -85,8 +92,12 @@ def main(argv: list[str] | None = None) -> None:
         spec = BookSpec().documented() if args.documented else BookSpec()
         keys = (*INVOICE_KEYS, "id_pagamento") if args.by_payment else INVOICE_KEYS
         book_job(spark, zones, args.ref_date, args.run_ts, spec, args.mode, payment_keys=keys)
+    elif args.job == "cluster":
+        print(cluster(spark, zones, args.table, args.months, args.rows_per_file))
     else:
-        register_zones(spark, zones, args.database)
+        tables = (*RAW, "stage", "book")
+        copies = [n + BY_CUSTOMER for n in tables if exists(spark, zones.curated(n + BY_CUSTOMER))]
+        register_zones(spark, zones, args.database, (*tables, *copies))
         spark.sql(f"USE {args.database}")
         result = spark.sql(args.statement)
         if args.output:

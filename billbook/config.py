@@ -12,6 +12,9 @@ from datetime import date, timedelta
 INTENDED = "intended"
 AS_WRITTEN = "as_written"
 
+# Ending of the name of a table's copy that is clustered by customer.
+BY_CUSTOMER = "_por_cliente"
+
 
 def check_mode(mode: str) -> str:
     if mode not in (INTENDED, AS_WRITTEN):

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billbook.config import Zones, month_bounds
+from billbook.config import BY_CUSTOMER, Zones, month_bounds
 from billbook.plans.book import book_schema
 from billbook.plans.spec import BookSpec
 from billbook.schema import RAW, REJECTS, STAGE
@@ -55,6 +55,23 @@ def read_stage(
     return month.where(F.col("dt_proc") == run_ts) if run_ts else month
 
 
+def read_table(spark: SparkSession, zones: Zones, name: str, spec: BookSpec = BookSpec()) -> DataFrame:
+    """All of a raw table, the stage or the book."""
+    if name in RAW:
+        return read_raw(spark, zones, name)
+    return spark.read.schema(_columns(name, spec)).parquet(zones.curated(name))
+
+
+def read_clustered(spark: SparkSession, zones: Zones, name: str, spec: BookSpec = BookSpec()) -> DataFrame:
+    """The copy of a lake table that `sinks.clustered` made; a condition on `id_cliente` skips row groups."""
+    schema = _columns(name, spec)
+    return spark.read.schema(schema).parquet(zones.curated(name + BY_CUSTOMER)).select(*schema.names)
+
+
+def _columns(name: str, spec: BookSpec) -> T.StructType:
+    return {**RAW, "stage": STAGE}.get(name) or book_schema(spec)
+
+
 def register_zones(
     spark: SparkSession,
     zones: Zones,
@@ -66,13 +83,14 @@ def register_zones(
 
     Newly written runs and months are added to existing declarations, which are
     replaced only if the columns differ. `ref` is an int everywhere. The tables
-    are external: dropping them leaves the files.
+    are external: dropping them leaves the files. Clustered copies go by their own
+    names, as `faturas_por_cliente`.
     """
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{zones.root}/_catalog'")
     done = []
     for name in tables:
         path = zones.raw(name) if name in RAW else zones.curated(name)
-        schema = {**RAW, "stage": STAGE}.get(name) or book_schema(spec)
+        schema = _columns(name.removesuffix(BY_CUSTOMER), spec)
         by = ("dt_proc", "ref") if name in RAW else ("ref",)
         schema = T.StructType([f for f in schema if f.name not in by] + [schema[c] for c in by])
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)

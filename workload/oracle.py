@@ -444,6 +444,14 @@ from e full join p using (ref)""",
         INV_SHOWN, RAW,
         f"inv where case when {IN_RANGE} then dt_proc = '{LOAD_2}' else dt_proc = '{LOAD_1}' end",
     ),
+    "clustered_invoices": _show(INV_SHOWN, RAW, "inv"),
+    "invoices_of_customers": _show(
+        INV_SHOWN, RAW + """,
+best as (
+  select id_cliente, sum(valor_fatura) as total from inv where id_cliente is not null
+  group by id_cliente order by total desc, id_cliente limit 10
+)""", "inv where id_cliente in (select id_cliente from best)",
+    ),
     "latest_key": _show(
         "id_cliente, id_fatura, max(cast(ref as varchar) || dt_proc) as max_dedup_key", RAW,
         "pay group by id_cliente, id_fatura",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from billbook.config import AS_WRITTEN, INTENDED, Zones, month_bounds
+from billbook.config import AS_WRITTEN, BY_CUSTOMER, INTENDED, Zones, month_bounds
 from billbook.functions.calendar import window_flags
 from billbook.functions.payment import LATE, UNPAID
 from billbook.operators.dedup import latest_key
@@ -24,6 +24,7 @@ from billbook.plans.stage import (
 )
 from billbook.session import scratch_dir
 from billbook.schema import CONTROL, INVOICE_KEYS, LINE, RAW
+from billbook.sinks.clustered import cluster, read_customers
 from billbook.sinks.lake import replace_months, write_month, write_months, write_raw, write_run
 from billbook.sinks.versions import update_versions, versions_joined, versions_table
 from billbook.sources.database import equal_depth_predicates
@@ -196,6 +197,28 @@ def write_read_replace_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return present(spark.read.parquet(path))
 
 
+def _clustered(spark: SparkSession, sf_dir: str) -> Zones:
+    zones = billing.lake(spark, sf_dir)
+    billing.once(spark, sf_dir, "clustered", lambda: cluster(spark, zones, "faturas", rows_per_file=20_000))
+    return zones
+
+
+def clustered_invoices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy of the raw invoices that is clustered by customer, as a table of SQL."""
+    register_zones(spark, _clustered(spark, sf_dir), "lake", ("faturas" + BY_CUSTOMER,))
+    names = ", ".join(RAW["faturas"].names)
+    return present(spark.sql(f"select {names} from lake.faturas{BY_CUSTOMER}"))
+
+
+def invoices_of_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All invoices of the ten customers with the highest sum of invoices, looked up in the clustered copy."""
+    total = _raw(spark, sf_dir, "faturas").where("id_cliente is not null").groupBy("id_cliente").agg(
+        F.sum("valor_fatura").alias("total")
+    )
+    top = [r["id_cliente"] for r in total.orderBy(F.desc("total"), "id_cliente").limit(10).collect()]
+    return present(read_customers(spark, _clustered(spark, sf_dir), "faturas", top))
+
+
 # Deduplication and join
 
 
@@ -481,6 +504,8 @@ QUERIES: dict[str, Query] = {
     "write_read_append": write_read_append,
     "write_read_overwrite": write_read_overwrite,
     "write_read_replace_months": write_read_replace_months,
+    "clustered_invoices": clustered_invoices,
+    "invoices_of_customers": invoices_of_customers,
     "latest_key": latest,
     "dedup_invoices": dedup("faturas", INTENDED),
     "dedup_payments": dedup("pagamentos", INTENDED),
