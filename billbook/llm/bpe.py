@@ -8,7 +8,9 @@ a node of the token trie for the bytes after it; a token may end where it is com
 with the one before. Exactly one hypothesis is complete after every byte: the encoding of the prefix that
 ends there. The set of hypotheses (last token, trie node) is a state of the determinised
 machine, and a transition gives the last token of the prefix. When only the complete
-hypothesis is left, all tokens so far are decided and emitted; no hypothesis outlives the
+hypothesis is left, all tokens so far are decided and emitted. Where several stay alive, as
+in long runs of letters, they began within the length of the longest token, and the tokens
+that the encodings up to all their beginnings share are emitted: the lookahead is about the
 longest token. States and transitions are made when a text first needs them, and kept.
 
 Texts are cut by the vocabulary's pattern first; encodings of pieces are cached per
@@ -30,10 +32,13 @@ from pyspark.sql import types as T
 
 from billbook.llm.common import kept
 
-# About 120, 60 and 60 MB.
+# About 120, 60 and 60 MB; transitions are mostly one or two a state.
 STATES = 220_000
+TRANSITIONS = 4 * STATES
 PAIRS = 400_000
 PIECES = 250_000
+# So many bytes beyond the longest token are read before hypotheses are compared.
+LOOK = 16
 _NODE = (1 << 32) - 1
 
 
@@ -76,16 +81,28 @@ class Transducer:
                 node = self.child.setdefault(node << 8 | byte, len(self.child) + 1)
             self.token_at[node] = rank
         self.leaves = set(self.token_at) - inner
+        self.longest = max(map(len, ranks))
+        # Nodes are numbered after their parents.
+        self.depth = array("I", bytes(4 * (len(self.child) + 1)))
+        for way, node in self.child.items():
+            self.depth[node] = self.depth[way >> 8] + 1
         self.pairs: dict[int, bool] = {}
-        self._clear()
-
-    def _clear(self) -> None:
         # A state is its hypotheses, each as last token + 1 and trie node in one number, as bytes.
-        start = array("Q", [0]).tobytes()
-        self.number = {start: 0}
-        self.states = [start]
+        self.number: dict[bytes, int] = {}
+        self.states: list[bytes] = []
         # state << 8 | byte -> next state, token that ends here, whether it is decided, in one number.
         self.steps: dict[int, int] = {}
+        self._clear()
+
+    def _clear(self, state: int | None = None) -> int:
+        """Forgets all states but the start and `state`, whose new number it returns."""
+        start = array("Q", [0]).tobytes()
+        keep = start if state is None else self.states[state]
+        self.steps.clear()
+        self.number.clear()
+        self.states[:] = dict.fromkeys((start, keep))
+        self.number.update((s, i) for i, s in enumerate(self.states))
+        return self.number[keep]
 
     def _follows(self, last: int, token: int) -> bool:
         """Whether `token` may stand after `last`; -1 is the start of the piece."""
@@ -121,25 +138,48 @@ class Transducer:
         return step
 
     def encode(self, piece: bytes) -> list[int]:
-        """Ids of one piece. Tokens are emitted as soon as no other hypothesis is left."""
+        """Ids of one piece."""
         whole = self.ranks.get(piece)
         if whole is not None:
             return [whole]
-        if len(self.states) > STATES:
-            self._clear()
         ids: list[int] = []
+        for decided in self.stream(piece):
+            ids += decided
+        return ids
+
+    def stream(self, piece: Iterable[int]) -> Iterator[list[int]]:
+        """Ids of one piece that is no token, given byte by byte, as soon as they are decided."""
         open_: list[int] = []  # for each byte since the last emission, the step that it made
         state, known = 0, self.steps.get
+        look = first_look = self.longest + LOOK
         for byte in piece:
             step = known(state << 8 | byte)
             if step is None:
+                if len(self.states) > STATES or len(self.steps) > TRANSITIONS:
+                    state = self._clear(state)
                 step = self._step(state, byte)
             state = step >> 33
             open_.append(step)
             if step & 1:
-                ids += self._emitted(open_)
-                open_ = []
-        return ids + self._emitted(open_) if open_ else ids
+                yield self._emitted(open_)
+                open_, look = [], first_look
+            elif len(open_) >= look:
+                agreed = self._agreed(state, open_)
+                if agreed:
+                    yield self._emitted(open_[:agreed])
+                    open_ = open_[agreed:]
+                look = max(first_look, len(open_) + max(LOOK, len(open_) // 2))
+        if open_:
+            yield self._emitted(open_)
+
+    def _agreed(self, state: int, steps: list[int]) -> int:
+        """Where the encodings up to the beginnings of all hypotheses last have a border in common."""
+        ends = {len(steps) - self.depth[h & _NODE] for h in array("Q", self.states[state])}
+        while len(ends) > 1:
+            last = max(ends)
+            ends.remove(last)
+            ends.add(last - len(self.bytes_of[steps[last - 1] >> 1 & _NODE]))
+        return ends.pop()
 
     def _emitted(self, steps: list[int]) -> list[int]:
         """The tokens up to here, found from the last one backwards."""

@@ -32,8 +32,31 @@ def test_pieces_as_the_library_has_them(library):
         assert machine.encode(piece) == ([machine.ranks[piece]] if piece in machine.ranks else list(bpe.merged(piece, machine.ranks)))
 
 
+def test_lookahead_and_states_are_bounded_inside_a_piece(library, monkeypatch):
+    random.seed(7)
+    monkeypatch.setattr(bpe, "STATES", 20_000)
+    machine = bpe.Transducer(bpe.read_ranks(PATH))
+    letters = bytes(random.choices(b"abcdefghijklmnopqrstuvwxyz", k=200_000))
+    for piece in (b"a" * 5_000, letters, b"the" * 3_000, "é日".encode() * 2_000):
+        out, undecided = 0, 0
+
+        def fed():
+            nonlocal undecided
+            for at, byte in enumerate(piece):
+                undecided = max(undecided, at - out)
+                yield byte
+
+        ids = []
+        for decided in machine.stream(fed()):
+            out += sum(len(machine.bytes_of[t]) for t in decided)
+            ids += decided
+            assert len(machine.states) <= 20_002
+        assert out == len(piece) and undecided <= 2 * machine.longest
+        assert ids == machine.encode(piece) == library._encode_single_piece(piece)
+
+
 def test_small_caches_change_nothing(library, monkeypatch):
-    for name in ("STATES", "PAIRS", "PIECES"):
+    for name in ("STATES", "TRANSITIONS", "PAIRS", "PIECES"):
         monkeypatch.setattr(bpe, name, 3)
     machine = bpe.Transducer(bpe.read_ranks(PATH))
     for piece in (b"determinised", b" transducers", b"determinised", b"\xc3\xa9t\xc3\xa9"):
