@@ -53,10 +53,9 @@ def _documents(docs: DataFrame) -> DataFrame:
     return docs.select(key.alias("doc"), words_of(F.col("text")).alias("words"))
 
 
-def _beside(terms: DataFrame) -> DataFrame:
-    """The test terms, to be broadcast if they are small, whatever Spark estimates."""
-    size = terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0
-    return F.broadcast(terms) if size <= BROADCAST_BYTES else terms
+def _small(terms: DataFrame) -> bool:
+    """Whether the test terms are to be broadcast, whatever Spark estimates."""
+    return (terms.agg(F.sum(F.octet_length("term") + 64)).first()[0] or 0) <= BROADCAST_BYTES
 
 
 def lookups_of(docs: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataFrame:
@@ -65,13 +64,11 @@ def lookups_of(docs: DataFrame, windows: DataFrame, lists: int = LISTS) -> DataF
     n counts the term in all documents. Windows with a term that no document has are left out.
     """
     terms = written(windows.select(F.explode("window").alias("term")).distinct(), "terms")
-    counts = (
-        _documents(docs)
-        .select(F.explode("words").alias("term"))
-        .join(_beside(terms), "term")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    words, n = _documents(docs).select(F.explode("words").alias("term")), F.count(F.lit(1)).alias("n")
+    if _small(terms):
+        counts = words.join(F.broadcast(terms), "term").groupBy("term").agg(n)
+    else:
+        counts = words.groupBy("term").agg(n).join(terms, "term")
     found = (
         windows.select("window").distinct()
         .select("window", F.posexplode("window").alias("offset", "term"))
@@ -93,18 +90,23 @@ def build_index(docs: DataFrame, lookups: DataFrame, reach: int = WINDOW - 1) ->
     looked_up = lookups.select(F.explode("seeds.term").alias("term")).distinct()
     end = docs.sparkSession.range(1).select(F.lit(END).alias("term"))
     terms = written(looked_up.unionByName(end), "lookups")
-    before = F.least(F.col("pos"), F.lit(reach))
-    postings = (
-        _documents(docs)
-        .select("doc", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("pos", "term"))
-        .join(_beside(terms), "term")
-        .select(
-            "term", "doc", "pos",
-            F.slice("words", F.col("pos") - before + 1, before + reach + 1).alias("context"),
-            before.alias("at"),
-        )
+    return written(_postings(docs, terms, _small(terms), reach), "postings")
+
+
+def _postings(docs: DataFrame, terms: DataFrame, small: bool, reach: int) -> DataFrame:
+    """The postings of `terms`. No row that is shuffled carries more of its text than the context.
+
+    Beside a broadcast nothing is shuffled, and contexts are cut for the postings only; else they are cut before the join.
+    """
+    each = _documents(docs).select(
+        "doc", "words", F.posexplode(F.concat("words", F.array(F.lit(END)))).alias("pos", "term")
     )
-    return written(postings, "postings")
+    before = F.least(F.col("pos"), F.lit(reach))
+    context = F.slice("words", F.col("pos") - before + 1, before + reach + 1).alias("context")
+    cut = ["term", "doc", "pos", context, before.alias("at")]
+    if small:
+        return each.join(F.broadcast(terms), "term").select(*cut)
+    return each.select(*cut).join(terms, "term")
 
 
 def _list(index: DataFrame, lookups: DataFrame, i: int) -> DataFrame:

@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from billbook.llm import decontaminate
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -32,7 +34,9 @@ def brute(docs, items, length):
     return sorted(out, key=str)
 
 
-def test_same_as_brute_force(spark):
+@pytest.mark.parametrize("broadcast_bytes", [decontaminate.BROADCAST_BYTES, 0])
+def test_same_as_brute_force(spark, monkeypatch, broadcast_bytes):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", broadcast_bytes)
     random.seed(3)
     text = lambda n: " ".join(random.choice("a b c D É word,").strip() or "x" for _ in range(n))
     items = [(i, text(random.randint(0, 9))) for i in range(12)] + [(3, "a b c"), (None, "c d c"), (99, None)]
@@ -45,6 +49,20 @@ def test_same_as_brute_force(spark):
     assert sorted((tuple(r) for r in found), key=str) == brute(docs, items, 4)
 
 
+def test_shuffled_rows_carry_contexts_and_not_texts(spark):
+    docs = spark.createDataFrame([(1, "a b " * 20_000, "x")], DOCS)
+    terms = spark.createDataFrame([("b",)], "term string")
+    shuffled, broadcast = (decontaminate._postings(docs, terms, small, 3) for small in (False, True))
+    join = shuffled._jdf.queryExecution().optimizedPlan()
+    while join.nodeName() != "Join":
+        join = join.children().apply(0)
+    sides = [join.children().apply(i).output().mkString(" ") for i in (0, 1)]
+    assert "context" in " ".join(sides) and "words" not in " ".join(sides)
+    rows = [sorted(df.select("pos", "context", "at").collect()) for df in (shuffled, broadcast)]
+    assert rows[0] == rows[1] and len(rows[0]) == 20_000
+    assert max(len(r["context"]) for r in rows[0]) == 7
+
+
 def test_nothing_to_find(spark):
     none, docs = spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b", "x")], DOCS)
     items, no_items = spark.createDataFrame([(1, "a b")], ITEMS), spark.createDataFrame([], ITEMS)
