@@ -25,6 +25,8 @@ from billbook.sources.folders import exists, remove
 from billbook.sources.lake import raw_runs, read_raw
 
 BUCKET = "balde"
+# About 200 MB of payment rows to sort at a time.
+ROWS_TO_SORT = 2_000_000
 LOG = "dt_proc string"
 
 
@@ -104,10 +106,15 @@ def update_versions(
 
 
 def _placed(rows: DataFrame, buckets: int, rows_per_task: int) -> DataFrame:
-    """`dedup_latest`, one task per bucket; rows of a hot key are spread, and its bucket gets several files."""
+    """`dedup_latest`, a bucket's keys in as many tasks, and files, as its rows need; rows of a hot key are spread.
+
+    The number of tasks is a multiple of `buckets`, so that the hash puts each task's rows into one bucket.
+    """
     keys = [F.col(k) for k in INVOICE_KEYS]
-    if rows.count() <= rows_per_task:
-        return dedup_latest(rows.repartition(buckets, *keys))
+    total = rows.count()
+    tasks = buckets * max(1, -(-total // (buckets * ROWS_TO_SORT)))
+    if total <= rows_per_task:
+        return dedup_latest(rows.repartition(tasks, *keys))
     cells = skew.plan_cells(
         skew.find_hot_keys(rows, rows_per_task=rows_per_task), None, INVOICE_KEYS, rows_per_task
     )
@@ -116,7 +123,7 @@ def _placed(rows: DataFrame, buckets: int, rows_per_task: int) -> DataFrame:
     cold = rows.join(hot_keys, list(INVOICE_KEYS), "left_anti").select(*rows.columns)
     hot = skew.salted(rows.join(hot_keys, list(INVOICE_KEYS), "left_semi").select(*rows.columns), cells, "left")
     spread = dedup_latest(hot, (*INVOICE_KEYS, skew.SALT)).select(*rows.columns)
-    return dedup_latest(cold.repartition(buckets, *keys)).unionByName(spread)
+    return dedup_latest(cold.repartition(tasks, *keys)).unionByName(spread)
 
 
 def _empty_buckets(
