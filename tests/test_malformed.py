@@ -158,3 +158,10 @@ def test_lines_as_spark_writes_them(spark, zones):
     lines = spark.createDataFrame([(x,) for x in GOOD + BAD[:4]], f"`{HEADER}` string")
     write_lines(lines, zones.ingestion_run("tb_faturas", LOAD_1))
     assert Counter(r[LINE] for r in read_lines(spark, zones, "tb_faturas").collect()) == Counter(BAD[:4]) + Counter({None: 5})
+
+
+def test_text_is_put_together_only_where_it_is_needed(spark, zones):
+    _snapshot(zones, GOOD + BAD)
+    lines = read_lines(spark, zones, "tb_faturas")
+    inner = lines._jdf.queryExecution().analyzed().child().toString().splitlines()[0]
+    assert "_quoted" in inner and "_line" not in inner  # no text of every line is carried on

@@ -8,8 +8,9 @@ from billing_rows import REF_DATE, RUN_TS, random_stage
 from billbook.plans.book import feature_book
 from billbook.plans.spec import BookSpec
 from billbook.plans.stage import build_stage
+from billbook.sinks.lake import write_raw
 from billbook.sources.lake import read_look_back
-from workload import billing
+from workload import billing, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -49,3 +50,22 @@ def test_book_scans_once_and_shuffles_combined_rows(spark, tmp_path, capsys):
     assert plan.count("Arguments: hashpartitioning") == 2
     assert len(re.findall(r"^\(\d+\) Scan parquet", plan, re.M)) == 1
     assert "BatchEvalPython" not in plan
+
+
+def test_a_query_of_one_raw_table_writes_no_other(spark, monkeypatch):
+    written, updated = [], []
+    monkeypatch.setattr(billing, "_lakes", {})
+    monkeypatch.setattr(billing, "_done", set())
+    write, update = billing.write_raw, queries.update_versions
+    monkeypatch.setattr(billing, "write_raw", lambda df, path, *a: written.append(path.split("/")[-1]) or write(df, path, *a))
+    monkeypatch.setattr(queries, "update_versions", lambda s, z, name, *a: updated.append(name) or update(s, z, name, *a))
+    queries.QUERIES["dedup_invoices_bucketed"](spark, SF)
+    assert written == ["faturas"] and set(updated) == {"faturas"}
+
+
+def test_lake_rows_are_derived_after_they_have_moved(spark, tmp_path):
+    narrow = spark.createDataFrame([(1, "20240101000000", 202401), (2, "20240101000000", 202402)], "k int, dt_proc string, ref int")
+    twice = lambda df: df.selectExpr("k", "explode(array(k, k * 10)) as v", "dt_proc", "ref")
+    assert write_raw(narrow, str(tmp_path / "t"), "overwrite", twice) == 4
+    found = spark.read.parquet(str(tmp_path / "t")).select("k", "v", "ref").collect()
+    assert sorted(map(tuple, found)) == [(1, 1, 202401), (1, 10, 202401), (2, 2, 202402), (2, 20, 202402)]

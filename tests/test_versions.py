@@ -7,7 +7,8 @@ from billing_rows import LOAD_1, LOAD_2, frames, invoice, payment
 
 from billbook.operators.dedup import dedup_latest
 from billbook.plans.stage import latest_joined
-from billbook.schema import RAW
+from billbook.schema import INVOICE_KEYS, RAW
+from billbook.sinks import versions
 from billbook.sinks.lake import write_run
 from billbook.sinks.versions import BUCKET, update_versions, versions_joined, versions_table
 from billbook.sources.folders import subfolders
@@ -49,6 +50,20 @@ def test_runs_in_any_order_give_the_latest_versions(spark, zones):
     assert _rows(versions_joined(spark, zones, BUCKETS)) == _rows(latest_joined(*both))
 
 
+def test_large_buckets_are_sorted_in_several_tasks(spark, zones, monkeypatch):
+    monkeypatch.setattr(versions, "ROWS_TO_SORT", 3)
+    _, paid = _tables(spark)
+    for run_ts in (LOAD_1, LOAD_2, LOAD_1):
+        _load(spark, zones, "pagamentos", paid, run_ts)
+        update_versions(spark, zones, "pagamentos", run_ts, BUCKETS)
+    files = Counter(f.split(f"{BUCKET}=")[1].split("/")[0] for f in _files(spark, zones.versions("pagamentos", BUCKETS)))
+    assert max(files.values()) > 1
+    held = spark.read.parquet(zones.versions("pagamentos", BUCKETS))
+    assert held.where(f"{BUCKET} <> pmod(hash({', '.join(INVOICE_KEYS)}), {BUCKETS})").isEmpty()
+    loaded = read_raw(spark, zones, "pagamentos")
+    assert _rows(_held(spark, zones, "pagamentos")) == _rows(dedup_latest(loaded).select(*RAW["pagamentos"].names))
+
+
 def test_only_touched_buckets_are_written(spark, zones):
     inv, _ = _tables(spark)
     _load(spark, zones, "faturas", inv, LOAD_1)
