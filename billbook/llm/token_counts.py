@@ -90,7 +90,8 @@ def _finder(ranges: list[tuple[int, int]]) -> Callable[[str], object]:
 
 
 def _encoded_lengths(tokenizer: Tokenizer, pieces: list[str]) -> list[int]:
-    return [len(e.ids) for e in tokenizer.encode_batch(pieces, add_special_tokens=False)]
+    """One by one: a batch goes to a pool of a thread per core, while a task has one core and a text few new pieces."""
+    return [len(tokenizer.encode(p, add_special_tokens=False)) for p in pieces]
 
 
 def frequent_pieces(

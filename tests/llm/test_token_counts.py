@@ -1,9 +1,12 @@
+import subprocess
+import sys
+
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from billbook.llm import token_counts
-from billbook.llm.common import importable
+from billbook.llm.common import ROOT, importable
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -47,3 +50,15 @@ def test_whole_texts_of_the_tables(spark, library):
     texts = dict(docs.select("doc_id", "text").collect())
     for r in token_counts.count_tokens(docs, PATH, public_tokenizers.PATTERN).collect():
         assert r["n_tokens"] == len(library.encode(texts[r["doc_id"]], add_special_tokens=False).ids)
+
+
+def test_a_task_starts_no_threads_of_its_own():
+    script = f"""
+import os
+from billbook.llm import token_counts
+lookup = token_counts._Lookup(token_counts.LengthTable([], [], []), {PATH!r})
+before = len(os.listdir("/proc/self/task"))
+assert len(lookup.learn({{f" new{{i}}word" for i in range(500)}})) == 0 and len(lookup) == 500
+assert len(os.listdir("/proc/self/task")) == before
+"""
+    subprocess.run([sys.executable, "-c", script], check=True, cwd=ROOT, timeout=120)
